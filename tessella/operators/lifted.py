@@ -1,29 +1,37 @@
 """Scalar Python functions lifted to array columns."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
-def over_arrays(fn: Callable, element_type: str) -> Callable[[Column], Column]:
-    """``fn(scalar) -> scalar`` as a function of array columns, for logic with no built-in form.
+def lift_over_arrays(df: DataFrame, column: str, fn: Callable, element_type: str) -> DataFrame:
+    """``df`` with every element of an array column replaced by ``fn(element)``.
 
-    Works on whole Arrow batches; ``fn`` is called once per distinct value of a batch.
-    Where built-ins suffice, ``F.transform`` is faster.
+    For logic that has no built-in form; where built-ins suffice, ``F.transform`` stays in
+    the JVM.  Works on whole Arrow batches and calls ``fn`` once per distinct value of one.
     """
+    element = T._parse_datatype_string(element_type)
+    fields = [
+        T.StructField(f.name, T.ArrayType(element) if f.name == column else f.dataType) for f in df.schema
+    ]
+    arrow_type = to_arrow_type(element)
 
-    @F.pandas_udf(f"array<{element_type}>")
-    def lifted(batch: pd.Series) -> pd.Series:
-        present = [v for v in batch if v is not None and len(v)]
-        if not present:
-            return batch
-        values, where = np.unique(np.concatenate(present), return_inverse=True)
-        mapped = np.array([fn(v) for v in values.tolist()])[where]
-        cuts = iter(np.split(mapped, np.cumsum([len(v) for v in present])[:-1]))
-        return pd.Series([next(cuts) if v is not None and len(v) else v for v in batch])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(column)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            values, where = np.unique(flat, return_inverse=True)
+            mapped = pa.array([fn(v) for v in values.tolist()], type=arrow_type).take(pa.array(where))
+            lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int32)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            out = pa.ListArray.from_arrays(offsets, mapped, mask=lists.is_null())
+            at = batch.schema.get_field_index(column)
+            columns = [out if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    # marked so that the optimizer neither repeats the calls nor moves them into a filter
-    return lifted.asNondeterministic()
+    return df.mapInArrow(run, T.StructType(fields))

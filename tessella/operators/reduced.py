@@ -1,10 +1,10 @@
 """Statistics, a reduced basis, and ranked distances of feature vectors."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -121,19 +121,28 @@ def _fit_basis_by_spark(sample: DataFrame, column: str, k: int) -> Basis:
     return Basis(directions[:, live], np.sqrt(shares[live] * n * varying))
 
 
-def project(df: DataFrame, basis: Basis | np.ndarray, column: str = "features", out: str = "z") -> DataFrame:
-    """Coordinates of raw vectors in the basis, one matrix product per Arrow batch."""
+def project(
+    features: DataFrame,
+    basis: Basis | np.ndarray,
+    id_column: str = "tile_id",
+    column: str = "features",
+    out: str = "z",
+) -> DataFrame:
+    """``id, z``: coordinates of raw vectors in the basis, one matrix product per Arrow batch."""
     matrix = np.asarray(basis.directions if isinstance(basis, Basis) else basis, dtype=np.float64)
-    shared = df.sparkSession.sparkContext.broadcast(matrix)
-
-    @F.pandas_udf("array<double>")
-    def product(batch: pd.Series) -> pd.Series:
-        if batch.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.stack(batch.to_numpy()).astype(np.float64) @ shared.value))
-
-    # marked so that the optimizer neither repeats the product nor moves it into a filter
-    return df.withColumn(out, product.asNondeterministic()(F.col(column)))
+    shared = features.sparkSession.sparkContext.broadcast(matrix)
+    kind = features.schema[id_column].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width, k = shared.value.shape
+        for batch in batches:
+            rows = batch.column(column).flatten().to_numpy(zero_copy_only=False)
+            z = rows.reshape(batch.num_rows, width).astype(np.float64) @ shared.value
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * k)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(z.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(id_column), lists], [id_column, out])
+
+    return features.select(id_column, column).mapInArrow(run, f"`{id_column}` {kind}, `{out}` array<double>")
 
 
 def pair_distance(

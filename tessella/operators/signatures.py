@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import hashing
@@ -110,15 +110,14 @@ def band_sweep(
 
     All sizes are bucketed in one pass and joined at once.
     """
-    per_size = F.array(
-        *(
-            F.transform(
-                hashing.band_buckets(F.col("bits"), m, b),
-                lambda x, b=b: F.struct(F.lit(b).alias("b"), x["band"].alias("band"), x["bucket"].alias("bucket")),
-            )
-            for b in bands
-        )
-    )
+
+    def sized_buckets(b: int) -> Column:
+        def entry(x: Column) -> Column:
+            return F.struct(F.lit(b).alias("b"), x["band"].alias("band"), x["bucket"].alias("bucket"))
+
+        return F.transform(hashing.band_buckets(F.col("bits"), m, b), entry)
+
+    per_size = F.array(*(sized_buckets(b) for b in bands))
     sized = signed.select(id_column, F.inline(F.flatten(per_size)))
     wanted = candidate_frame(signed, candidates, id_column)
     few = fits_broadcast(wanted, BROADCAST_CANDIDATES)

@@ -45,10 +45,10 @@ def similar_tiles(
     basis = V.fit_basis(sample)
     if settings.scaled:
         scaled = V.zscore(matched, V.fit_stats(sample))
-        reduced = V.project(scaled.select(id_column, F.col("z").alias("features")), basis)
+        reduced = V.project(scaled, basis, id_column, "z")
     else:
-        reduced = V.project(matched, basis)
-    distances = V.pair_distance(matches, reduced.select(id_column, "z"), id_column)
+        reduced = V.project(matched, basis, id_column)
+    distances = V.pair_distance(matches, reduced, id_column)
     return V.rank_by_distance(distances, id_column, top)
 
 

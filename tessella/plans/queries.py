@@ -224,8 +224,8 @@ def lifted_sign(spark, sf):
     def sign(x):
         return 1 if x > 1 else -1 if x < -1 else 0
 
-    lift = lifted.over_arrays(sign, "tinyint")
-    return _cells(D.gray8(spark, sf), lift(grids.row_diff(F.col("v"), D.SIDE, D.SIDE)), "s")
+    gray = D.gray8(spark, sf).select("vec_id", grids.row_diff(F.col("v"), D.SIDE, D.SIDE).alias("d"))
+    return _cells(lifted.lift_over_arrays(gray, "d", sign, "tinyint"), F.col("d"), "s")
 
 
 def tile_features(spark, sf):
@@ -310,7 +310,7 @@ def zscore(spark, sf):
 
 
 def project_fixed_basis(spark, sf):
-    reduced = V.project(D.feat(spark, sf), D.fixed_basis(112, 4))
+    reduced = V.project(D.feat(spark, sf), D.fixed_basis(112, 4), "vec_id")
     return _cells(reduced, F.col("z"), "z").withColumn("z", _r6(F.col("z")))
 
 
