@@ -55,12 +55,16 @@ def year_month(year: Column, month: Column) -> Column:
     return F.concat(year, F.lit("-"), month)
 
 
+def count_keyed(body_key: Column, term_key: Column) -> Column:
+    """Non-overlapping whole-word occurrences, both sides in comparison form already."""
+    edge = rf"(?:(?<={WORD_CHAR})(?!{WORD_CHAR})|(?<!{WORD_CHAR})(?={WORD_CHAR}))"
+    return F.regexp_count(body_key, F.concat(F.lit(edge), quoted(term_key), F.lit(edge)))
+
+
 def count_term(body: Column, term: Column) -> Column:
     """Non-overlapping, case-insensitive, whole-word occurrences of ``term``.
 
     The term is matched literally.  This is the one-pair form; to count a whole
     vocabulary use :func:`tessella.operators.posts.term_mentions`.
     """
-    edge = rf"(?:(?<={WORD_CHAR})(?!{WORD_CHAR})|(?<!{WORD_CHAR})(?={WORD_CHAR}))"
-    pattern = F.concat(F.lit(edge), quoted(match_key(term)), F.lit(edge))
-    return F.regexp_count(match_key(body), pattern)
+    return count_keyed(match_key(body), match_key(term))

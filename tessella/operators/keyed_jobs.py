@@ -12,6 +12,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Distinct keys a map task may hold before it hands its combined values on.
 HELD_KEYS = 200_000
 
+#: Values of one key a map task may hold before it combines them.
+HELD_VALUES = 256
+
 _FLUSH_ROWS = 20_000
 
 
@@ -22,7 +25,7 @@ def map_reduce(
     reduce_fn: Callable[[Any, list], tuple | None],
     pair_schema: str,
     out_schema: str,
-    salts: int = 16,
+    slices: int = 16,
 ) -> DataFrame:
     """Run ``map_fn(k, v) -> [(k2, v2)]`` and ``reduce_fn(k2, [v2]) -> row or None``.
 
@@ -32,7 +35,7 @@ def map_reduce(
     ``combine_fn(k2, [v2]) -> [v2]`` shortens a list of values, to a length that does not
     grow with the list, without changing what ``reduce_fn`` makes of it together with
     further values: ``lambda k, vs: [sum(vs)]`` for a sum.  It runs in the map tasks and
-    again on ``salts`` slices of each key, so no task ever holds all values of a hot key.
+    again on ``slices`` parts of each key, so no task ever holds all values of a hot key.
     """
     names = T._parse_datatype_string(pair_schema).fieldNames()
     if len(names) != 2:
@@ -45,17 +48,23 @@ def map_reduce(
             ks, vs = (column.to_pylist() for column in batch.columns)
             for k, v in zip(ks, vs):
                 for k2, v2 in map_fn(k, v):
-                    held.setdefault(k2, []).append(v2)
-            held = {k2: combine_fn(k2, vs2) for k2, vs2 in held.items()}
-            if len(held) > HELD_KEYS:
-                yield from _pairs(held, pair_arrow)
-                held = {}
-        yield from _pairs(held, pair_arrow)
+                    values = held.setdefault(k2, [])
+                    values.append(v2)
+                    if len(values) >= HELD_VALUES:
+                        held[k2] = list(combine_fn(k2, values))
+                if len(held) > HELD_KEYS:
+                    yield from _pairs(combined(held.items()), pair_arrow)
+                    held = {}
+        yield from _pairs(combined(held.items()), pair_arrow)
+
+    def combined(items: Iterable[tuple[Any, list]]) -> Iterator[tuple[Any, list]]:
+        for k, values in items:
+            yield k, values if len(values) == 1 else combine_fn(k, values)
 
     def run_combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ks, lists = (column.to_pylist() for column in batch.columns)
-            yield from _pairs(((k, combine_fn(k, vs)) for k, vs in zip(ks, lists)), pair_arrow)
+            yield from _pairs(combined(zip(ks, lists)), pair_arrow)
 
     def run_reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,16 +76,15 @@ def map_reduce(
     out_arrow = to_arrow_schema(T._parse_datatype_string(out_schema))
 
     pairs = df.mapInArrow(run_map, pair_schema)
-    if salts > 1:
-        sliced = pairs.groupBy(key, F.pmod(F.spark_partition_id(), F.lit(salts)).alias("slice"))
+    if slices > 1:
+        sliced = pairs.groupBy(key, F.pmod(F.spark_partition_id(), F.lit(slices)).alias("slice"))
         grouped = sliced.agg(F.collect_list(value).alias("values")).select(key, "values")
         pairs = grouped.mapInArrow(run_combine, pair_schema)
     grouped = pairs.groupBy(key).agg(F.collect_list(value).alias("values"))
     return grouped.mapInArrow(run_reduce, out_schema)
 
 
-def _pairs(held, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    items = held.items() if isinstance(held, dict) else held
+def _pairs(items: Iterable[tuple[Any, list]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     return _rows(((k, v) for k, vs in items for v in vs), schema)
 
 

@@ -4,13 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import markup
-from tessella.functions.lambdas import bind, indices
+from tessella.functions.lambdas import computed
 from tessella.functions.strings import NON_WORD_CHAR, WORD_CHAR, match_key
 from tessella.runtime import BROADCAST_ROWS
 
-# Places where a run of word characters meets a run of other characters.
-_SEAM = rf"(?<={WORD_CHAR})(?={NON_WORD_CHAR})|(?<={NON_WORD_CHAR})(?={WORD_CHAR})"
-
 
 def split_records(df: DataFrame, column: str, delimiter: str, *keep: str, out: str = "part") -> DataFrame:
     """One row per part of ``column`` between delimiters; blank parts are dropped."""
@@ -52,59 +49,30 @@ def rejected_posts(contents: DataFrame) -> DataFrame:
     return bad.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _is_bordered(runs: Column) -> Column:
-    """Whether a run sequence starts and ends alike, so that two matches could overlap."""
-    n = F.size(runs)
-    return F.exists(indices(n - 1), lambda d: F.slice(runs, 1, n - 1 - d) == F.slice(runs, d + 2, n - 1 - d))
-
-
 def term_keys(terms: DataFrame) -> DataFrame:
-    """``term, key, n_runs, leads_word, bordered`` of a vocabulary (column ``term``).
+    """``term, key, anchor, simple`` of a vocabulary (column ``term``).
 
-    ``n_runs`` counts the alternating word and non-word runs: 1 for ``student``, 3 for
-    ``non-profit``.
+    ``key`` is the term in comparison form and ``anchor`` its longest run of word
+    characters.  Both edges of every such run are word boundaries wherever the term
+    matches, so a body that holds the term holds the anchor as a whole word.  A term that
+    is a single run is ``simple``: it and its anchor are the same.  A term without any
+    word character is simple as well.
     """
     keyed = terms.where(F.col("term") != "").select("term").distinct()
+    runs = F.split("key", NON_WORD_CHAR + "+")
+    longest = F.element_at(F.array_sort(F.transform(runs, lambda r: F.struct(F.length(r), r.alias("run")))), -1)
     keyed = keyed.withColumn("key", match_key(F.col("term")))
-    return keyed.select(
-        "term",
-        "key",
-        F.size(F.split("key", _SEAM)).alias("n_runs"),
-        F.col("key").rlike("^" + WORD_CHAR).alias("leads_word"),
-        bind(F.split("key", _SEAM), _is_bordered).alias("bordered"),
-    )
+    keyed = keyed.withColumn("anchor", F.coalesce(F.nullif(longest["run"], F.lit("")), F.col("key")))
+    return keyed.withColumn("simple", F.col("anchor") == F.col("key"))
 
 
-def _grams(runs: Column, n: int, leads_word: bool, bordered_only: bool) -> Column:
-    """Run sequences of length ``n`` at which a term of that shape can match.
-
-    An edge of a term on a word run always sits on a word boundary, as runs are maximal.
-    An edge on a non-word run does so only when a word run lies beyond it.
-    """
-    tail_is_word = (n % 2 == 1) == leads_word
-    first_is_word = F.get(runs, F.lit(0)).rlike("^" + WORD_CHAR)
-
-    def fits(i: Column) -> Column:
-        ok = ((i % 2 == 0) == first_is_word) == F.lit(leads_word)
-        if not leads_word:
-            ok = ok & (i > 0)
-        if not tail_is_word:
-            ok = ok & (i + n < F.size(runs))
-        if bordered_only:
-            ok = ok & _is_bordered(F.slice(runs, i + 1, n))
-        return ok
-
-    starts = F.filter(indices(F.size(runs) - (n - 1)), fits)
-    return F.transform(starts, lambda i: F.array_join(F.slice(runs, i + 1, n), ""))
-
-
-def _gram_column(body_key: Column, shapes: list[tuple[int, bool]], bordered_only: bool = False) -> Column:
-    if shapes == [(1, True)]:
-        return F.split(body_key, NON_WORD_CHAR + "+")
-    return bind(
-        F.split(body_key, _SEAM),
-        lambda runs: F.concat(*(_grams(runs, n, word, bordered_only) for n, word in shapes)),
-    )
+def _pieces(body_key: Column, with_symbols: bool) -> Column:
+    """Words of a body, followed by the separators between two words if asked for."""
+    words = F.split(body_key, NON_WORD_CHAR + "+")
+    if not with_symbols:
+        return words
+    gaps = F.split(body_key, WORD_CHAR + "+")
+    return F.concat(words, F.slice(gaps, 2, F.greatest(F.size(gaps) - 2, F.lit(0))))
 
 
 def term_mentions(
@@ -113,54 +81,54 @@ def term_mentions(
     """``year_month, term, n``: whole-word mentions of each term, where there are any.
 
     ``dated`` has ``year, month, body``; ``terms`` has ``term``.  Instead of pairing every
-    post with every term, each body is cut once into candidate word sequences and these
-    are equi-joined to the vocabulary.  A vocabulary of at most ``max_broadcast_terms``
-    rows is broadcast, so only hits are shuffled; a larger one meets counts that are
-    already summed per month and sequence.
+    post with every term, each body is cut into words once and the words are equi-joined to
+    the anchors of the terms.  A hit on a simple term is a mention.  A compound term
+    (``non-profit``, ``real estate``) is counted in the body at the first hit of its anchor.
 
-    A term that can overlap itself (``new-new``) is counted on the body it was found in,
-    since sequence counts would count overlapping matches twice.
+    A vocabulary of at most ``max_broadcast_terms`` rows is broadcast, so only hits are
+    shuffled.  In a larger one the simple terms meet words already summed per month, and
+    the compound terms are broadcast in slices of that size.
     """
     keyed = term_keys(terms)
-    size = keyed.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.collect_set(F.when(~F.col("bordered"), F.struct("n_runs", "leads_word"))).alias("plain"),
-        F.collect_set(F.when(F.col("bordered"), F.struct("n_runs", "leads_word"))).alias("bordered"),
+    total, compound, symbols = keyed.agg(
+        F.count(F.lit(1)),
+        F.count_if(~F.col("simple")),
+        F.count_if(~F.col("key").rlike(WORD_CHAR)),
     ).first()
-    small = size["n"] <= max_broadcast_terms
-    plain = sorted((s["n_runs"], s["leads_word"]) for s in size["plain"])
-    bordered = sorted((s["n_runs"], s["leads_word"]) for s in size["bordered"])
-
-    source = dated.select(
-        markup.year_month(F.col("year"), F.col("month")).alias("year_month"),
-        match_key(F.col("body")).alias("body_key"),
-    )
-    found = _plain_mentions(source, keyed, plain, small)
-    if bordered:
-        found = found.unionByName(_bordered_mentions(source, keyed, bordered, small))
+    month = markup.year_month(F.col("year"), F.col("month")).alias("year_month")
+    bodies = dated.select(month, match_key(F.col("body")).alias("body_key"))
+    cut = bodies.select("year_month", "body_key", _pieces(F.col("body_key"), symbols > 0).alias("pieces"))
+
+    if total <= max_broadcast_terms:
+        return _mentions_of_broadcast(cut, keyed)
+    found = _mentions_of_summed(cut, keyed.where("simple"))
+    slices = -(-compound // max_broadcast_terms)
+    for i in range(slices):
+        own = keyed.where(~F.col("simple") & (F.pmod(F.xxhash64("term"), F.lit(slices)) == i))
+        found = found.unionByName(_mentions_of_broadcast(cut, own))
     return found
 
 
-def _plain_mentions(source: DataFrame, keyed: DataFrame, shapes: list, small: bool) -> DataFrame:
-    grams = source.select(
-        "year_month", F.explode(_gram_column(F.col("body_key"), shapes or [(1, True)])).alias("key")
+def _mentions_of_broadcast(cut: DataFrame, keyed: DataFrame) -> DataFrame:
+    words = cut.select("*", F.posexplode(computed(F.col("pieces"))).alias("pos", "anchor"))
+    hits = words.join(F.broadcast(keyed), "anchor")
+    is_first = F.array_position("pieces", F.col("anchor")) == F.col("pos") + 1
+    holds = F.contains("body_key", "key")  # a plain search spares most bodies the pattern
+    n = (
+        F.when(F.col("simple"), F.lit(1))
+        .when(is_first & holds, markup.count_keyed(F.col("body_key"), F.col("key")))
+        .otherwise(F.lit(0))
     )
-    vocabulary = keyed.where(~F.col("bordered")).select("term", "key")
-    if small:
-        hits = grams.join(F.broadcast(vocabulary), "key")
-        return hits.groupBy("year_month", "term").agg(F.count(F.lit(1)).alias("n"))
-    summed = grams.where(F.col("key") != "").groupBy("year_month", "key").agg(F.count(F.lit(1)).alias("n"))
-    hits = summed.join(vocabulary, "key")
-    return hits.groupBy("year_month", "term").agg(F.sum("n").alias("n"))
+    # zero counts go only after the sum: a filter before it would be made a join condition
+    # and count everything twice
+    return drop_zero(hits.groupBy("year_month", "term").agg(F.sum(n).alias("n")))
 
 
-def _bordered_mentions(source: DataFrame, keyed: DataFrame, shapes: list, small: bool) -> DataFrame:
-    grams = F.array_distinct(_gram_column(F.col("body_key"), shapes, bordered_only=True))
-    found = source.select("year_month", "body_key", F.explode(grams).alias("key"))
-    vocabulary = keyed.where("bordered").select("term", "key")
-    hits = found.join(F.broadcast(vocabulary) if small else vocabulary, "key")
-    counted = F.sum(markup.count_term(F.col("body_key"), F.col("key"))).alias("n")
-    return hits.groupBy("year_month", "term").agg(counted)
+def _mentions_of_summed(cut: DataFrame, simple: DataFrame) -> DataFrame:
+    words = cut.select("year_month", F.explode(computed(F.col("pieces"))).alias("anchor"))
+    summed = words.where("anchor <> ''").groupBy("year_month", "anchor").agg(F.count(F.lit(1)).alias("n"))
+    hits = summed.join(simple, "anchor")
+    return hits.groupBy("year_month", "term").agg(F.sum("n").alias("n"))
 
 
 def term_mentions_by_scan(dated: DataFrame, terms: list[str]) -> DataFrame:
