@@ -64,26 +64,21 @@ def block_mean(grid: Column, height: int, width: int, block: int) -> Column:
     return bind(grid, lambda g: F.transform(_cells(n_out), lambda i: one(g, i)))
 
 
+def _less_shifted(grid: Column, cells: int, by: int) -> Column:
+    """Each cell's ``by``-th successor minus the cell, for the cells that have one."""
+    n = cells - by
+    return bind(grid, lambda g: F.zip_with(F.slice(g, by + 1, n), F.slice(g, 1, n), lambda b, a: b - a))
+
+
 def row_diff(grid: Column, height: int, width: int) -> Column:
     """Right neighbour minus cell, row by row: ``height x (width-1)``."""
-    w = width - 1
-    return bind(
-        grid,
-        lambda g: F.transform(
-            _cells(height * w),
-            lambda i: F.get(g, _div(i, w) * width + i % w + 1) - F.get(g, _div(i, w) * width + i % w),
-        ),
-    )
+    steps = _less_shifted(grid, height * width, 1)
+    return F.filter(steps, lambda _, i: i % width != width - 1)  # not from one row to the next
 
 
 def col_diff(grid: Column, height: int, width: int) -> Column:
     """Lower neighbour minus cell: ``(height-1) x width``."""
-    return bind(
-        grid,
-        lambda g: F.transform(
-            _cells((height - 1) * width), lambda i: F.get(g, i + width) - F.get(g, i)
-        ),
-    )
+    return _less_shifted(grid, height * width, width)
 
 
 def discretize(x: Column, threshold: float = 1) -> Column:

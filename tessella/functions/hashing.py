@@ -19,8 +19,10 @@ def feature_chunks(features: Column, m: int = 128, cover_tail: bool = False) ->
     shift = 1 if cover_tail else 0
 
     def cut(f: Column) -> Column:
+        return bind(_div(F.size(f), m), lambda step: chunks(f, step))
+
+    def chunks(f: Column, step: Column) -> Column:
         n = F.size(f)
-        step = _div(n, m)
         wide = step * 2
         plain = F.transform(indices(F.lit(m)), lambda i: F.slice(f, i * step + 1, step))
         forward = F.transform(indices(F.lit(half)), lambda i: F.slice(f, i * wide + 1, wide))
@@ -51,10 +53,10 @@ def chunk_bit(text: Column) -> Column:
     def pick(h: Column) -> Column:
         first, n16, n17 = F.substring(h, 1, 1), F.substring(h, 16, 1), F.substring(h, 17, 1)
         return (
-            F.when(first >= "8", n16.isin(*"2367abef"))
-            .when(first >= "4", n16.isin(*"13579bdf"))
-            .when(first >= "2", n17.isin(*"89abcdef"))
-            .otherwise(n17.isin(*"4567cdef"))
+            F.when(first >= "8", F.contains(F.lit("2367abef"), n16))
+            .when(first >= "4", F.contains(F.lit("13579bdf"), n16))
+            .when(first >= "2", n17 >= "8")
+            .otherwise(F.contains(F.lit("4567cdef"), n17))
             .cast("tinyint")
         )
 

@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 
 from tessella.functions import vectors
 from tessella.functions.lambdas import computed
-from tessella.runtime import broadcast_if_small, cut_lineage
+from tessella.operators.joins import HOT_ROWS, spread_join
+from tessella.runtime import broadcast_if_small, cut_lineage, fits_broadcast
 
 #: Sample cells (rows times width) up to which a basis is fitted from the sample's Gram
 #: matrix on the driver; a larger sample is fitted by Spark.
 DRIVER_CELLS = 20_000_000
 
+#: Most candidates whose vectors in the reduced space are broadcast.
+BROADCAST_CANDIDATES = 50_000
+
 #: Rows of one candidate up to which one task ranks them.
 WINDOW_ROWS = 2_000_000
 
@@ -150,17 +154,20 @@ def pair_distance(
 ) -> DataFrame:
     """``candidate, id, distance`` for the matched pairs only.
 
-    The candidates' own vectors are joined to the pairs by candidate; there are few of
-    them, so they are broadcast after a size check and a candidate with many matches does
-    not pile up in one task.
+    The candidates' own vectors are joined to the pairs by candidate.  There are few of
+    them as a rule: their number is checked and they are broadcast.  Otherwise a candidate
+    with many matches is spread over several tasks.
     """
     z = reduced.select(id_column, F.col(column).alias("z"))
     wanted = matches.select(F.col("candidate").alias(id_column)).distinct()
-    own = z.join(broadcast_if_small(wanted, 50_000), id_column, "left_semi").select(
-        F.col(id_column).alias("candidate"), F.col("z").alias("z0")
-    )
+    few = fits_broadcast(wanted, BROADCAST_CANDIDATES)
+    own = z.join(F.broadcast(wanted) if few else wanted, id_column, "left_semi")
+    own = own.select(F.col(id_column).alias("candidate"), F.col("z").alias("z0"))
     pairs = matches.select("candidate", id_column).join(z, id_column)
-    pairs = pairs.join(broadcast_if_small(own, 50_000), "candidate")
+    if few:
+        pairs = pairs.join(F.broadcast(own), "candidate")
+    else:
+        pairs = spread_join(pairs, own, ["candidate"], id_column, HOT_ROWS)
     return pairs.select("candidate", id_column, vectors.euclidean(F.col("z"), F.col("z0")).alias("distance"))
 
 
@@ -174,19 +181,22 @@ def rank_by_distance(
     id_column: str = "tile_id",
     top: int | None = None,
     window_rows: int = WINDOW_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """``candidate, id, distance, rank``: nearest first, ties by id.
 
     With ``top`` each task keeps its own first ``top`` rows per candidate before the
     shuffle.  Without it, candidates with more than ``window_rows`` rows are ranked by a
-    range-partitioned sort instead of a window in one task.
+    range-partitioned sort instead of a window in one task.  ``largest`` is the number of
+    rows of the largest candidate where the caller knows it, else it is counted.
     """
     order = ["distance", id_column]
     nearest = W.partitionBy("candidate").orderBy(*order)
     if top is not None:
         return distances.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top)
-    sizes = distances.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest is None:
+        sizes = distances.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= window_rows:
         return distances.withColumn("rank", F.row_number().over(nearest))
     return rank_by_ranges(distances, "candidate", order)
@@ -197,9 +207,10 @@ def rank_by_ranges(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame
 
     Rows are range-partitioned by group and order, numbered within each range, and every
     range then starts where the ones before it end.  ``order`` must be unique per group.
-    The numbered rows are written once, since range bounds are sampled.
+    The rows are written before they are sampled for range bounds and again once numbered,
+    so a task that is run again sees the same values and the same bounds.
     """
-    ranged = df.repartitionByRange(group, *order).withColumn("range", F.spark_partition_id())
+    ranged = cut_lineage(df).repartitionByRange(group, *order).withColumn("range", F.spark_partition_id())
     piece = W.partitionBy(group, "range").orderBy(*order)
     numbered = cut_lineage(ranged.withColumn("place", F.row_number().over(piece)))
     sizes = numbered.groupBy(group, "range").agg(F.count(F.lit(1)).alias("n"))

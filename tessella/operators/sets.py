@@ -17,8 +17,13 @@ def membership(sets: DataFrame) -> DataFrame:
 
 
 def labels_per_element(members: DataFrame) -> DataFrame:
-    """``element, labels``: the distinct labels that hold each element, sorted."""
-    return members.groupBy("element").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    """``element, labels``: the distinct labels that hold each element, sorted.
+
+    Repeats are dropped first, by a hash aggregate in the map tasks; what is left to collect
+    is one row per element and label.
+    """
+    held = members.select("element", "label").distinct()
+    return held.groupBy("element").agg(F.array_sort(F.collect_list("label")).alias("labels"))
 
 
 def set_difference(members: DataFrame, label: str = "R") -> DataFrame:

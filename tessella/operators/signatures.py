@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import hashing
-from tessella.runtime import BROADCAST_ROWS, fits_broadcast
+from tessella.operators.joins import HOT_ROWS, spread_join
+from tessella.runtime import fits_broadcast
 
 #: Most candidates whose buckets are broadcast.
 BROADCAST_CANDIDATES = 10_000
 
-#: Rows of one bucket above which it is spread over several tasks.
-HOT_BUCKET_ROWS = 200_000
-
 
 def signatures(
     features: DataFrame, id_column: str = "tile_id", m: int = 128, cover_tail: bool = False
@@ -46,14 +44,15 @@ def similar_to(
     candidates: Sequence | DataFrame,
     id_column: str = "tile_id",
     max_broadcast: int = BROADCAST_CANDIDATES,
-    hot_rows: int = HOT_BUCKET_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``candidate, id``: tiles that share at least one (band, bucket) with a candidate.
 
     One equi-join for all candidates; a candidate matches itself.  Few candidates are
     broadcast, so the tiles are never shuffled by bucket and a bucket that holds a third
     of them costs nothing extra.  Many candidates are joined by shuffle with hot buckets
-    spread out, see :func:`spread_join`.
+    spread out, see
+    :func:`tessella.operators.joins.spread_join`.
     """
     wanted = candidate_frame(buckets, candidates, id_column)
     few = fits_broadcast(wanted, max_broadcast)
@@ -66,33 +65,6 @@ def similar_to(
     return joined.select("candidate", id_column).distinct()
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: str, hot_rows: int) -> DataFrame:
-    """Inner equi-join in which no join key brings more than about ``hot_rows`` left rows together.
-
-    Left rows of a hotter key are dealt to slices by a hash of ``spread_by``; right rows of
-    such a key are repeated once per slice.  The list of hot keys is broadcast: were there
-    more than ``BROADCAST_ROWS`` of them, the bound is raised to the value at which there
-    can be no more.
-    """
-    counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    total, hot_keys = counted.agg(F.sum("rows"), F.count_if(F.col("rows") > hot_rows)).first()
-    if not hot_keys:
-        return left.join(right, on)
-    if hot_keys > BROADCAST_ROWS:
-        hot_rows = max(hot_rows, -(-total // BROADCAST_ROWS))
-    hot = F.broadcast(
-        counted.where(F.col("rows") > hot_rows).select(
-            *on, F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias("slices")
-        )
-    )
-    slices = F.coalesce("slices", F.lit(1))
-    dealt = left.join(hot, on, "left").withColumn("slice", F.pmod(F.hash(spread_by), slices)).drop("slices")
-    repeated = right.join(hot, on, "left").withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), slices - 1))
-    ).drop("slices")
-    return dealt.join(repeated, [*on, "slice"]).drop("slice")
-
-
 def matched_any(matches: DataFrame, id_column: str = "tile_id") -> DataFrame:
     """Tiles matched by at least one candidate."""
     return matches.select(id_column).distinct()
@@ -127,6 +99,6 @@ def band_sweep(
     if few:
         joined = sized.join(F.broadcast(own), keys)
     else:
-        joined = spread_join(sized, own, keys, id_column, HOT_BUCKET_ROWS)
+        joined = spread_join(sized, own, keys, id_column, HOT_ROWS)
     pairs = joined.select("b", "candidate", id_column).distinct()
     return pairs.groupBy("b", "candidate").agg(F.count(F.lit(1)).alias("n"))

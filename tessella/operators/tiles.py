@@ -67,17 +67,21 @@ def pixel_intensities(pixels: np.ndarray) -> np.ndarray:
 
 
 def gradient_features(values: np.ndarray, block: int, threshold: float = 1) -> np.ndarray:
-    """Feature vector of one intensity grid after averaging ``block x block`` squares."""
-    h, w = values.shape
+    """Feature vectors of intensity grids after averaging ``block x block`` squares.
+
+    Works on the last two axes: one grid gives one vector, a stack of grids one per grid.
+    """
+    *stack, h, w = values.shape
     if h % block or w % block:
         raise ValueError(f"a {h}x{w} grid cannot be cut into {block}x{block} blocks")
-    sums = values.reshape(h // block, block, w // block, block).sum(axis=(1, 3), dtype=np.int64)
+    squares = values.reshape(*stack, h // block, block, w // block, block)
+    sums = squares.sum(axis=(-3, -1), dtype=np.int64)
     means = sums / float(block * block)
 
     def signs(d: np.ndarray) -> np.ndarray:
-        return ((d > threshold).astype(np.int8) - (d < -threshold).astype(np.int8)).ravel()
+        return ((d > threshold).astype(np.int8) - (d < -threshold).astype(np.int8)).reshape(*stack, -1)
 
-    return np.concatenate([signs(np.diff(means, axis=1)), signs(np.diff(means, axis=0))])
+    return np.concatenate([signs(np.diff(means, axis=-1)), signs(np.diff(means, axis=-2))], axis=-1)
 
 
 def _pixels(batch: pa.RecordBatch, i: int) -> np.ndarray:
@@ -91,6 +95,12 @@ def _lists(vectors: Sequence[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=kind))
 
 
+def _stacked(vectors: np.ndarray) -> pa.Array:
+    """Rows of a matrix as a list array."""
+    n, width = vectors.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(vectors.ravel()))
+
+
 def _tile_batch(image: str, tiles: Iterable[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
     tiles = list(tiles)
     ids = [f"{image}-{index}" for _, _, index, _ in tiles]
@@ -181,16 +191,21 @@ def features_of_intensity(intensities: DataFrame, blocks: Sequence[int] = (10,))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, used, vectors = [], [], []
-            for i in range(batch.num_rows):
-                h, w = batch.column("height")[i].as_py(), batch.column("width")[i].as_py()
-                grid = batch.column("v")[i].values.to_numpy(zero_copy_only=False).reshape(h, w)
+            shapes = list(zip(batch.column("height").to_pylist(), batch.column("width").to_pylist()))
+            for h, w in dict.fromkeys(shapes):
+                same = batch.filter(pa.array([s == (h, w) for s in shapes]))
+                cells = same.column("v").flatten().to_numpy(zero_copy_only=False)
+                stack = cells.reshape(same.num_rows, h, w)
                 for block in sizes:
-                    ids.append(batch.column("tile_id")[i].as_py())
-                    used.append(block)
-                    vectors.append(gradient_features(grid, block))
-            if ids:
-                yield _feature_batch(ids, used, vectors)
+                    vectors = gradient_features(stack, block)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            same.column("tile_id"),
+                            pa.array(np.full(same.num_rows, block, np.int32)),
+                            _stacked(vectors),
+                        ],
+                        ["tile_id", "block", "features"],
+                    )
 
     return intensities.select("tile_id", "height", "width", "v").mapInArrow(run, FEATURE_SCHEMA)
 

@@ -49,7 +49,8 @@ def similar_tiles(
     else:
         reduced = V.project(matched, basis, id_column)
     distances = V.pair_distance(matches, reduced, id_column)
-    return V.rank_by_distance(distances, id_column, top)
+    largest = L.match_counts(matches).agg(F.max("n")).first()[0] or 0
+    return V.rank_by_distance(distances, id_column, top, largest=largest)
 
 
 def compare_blocks(

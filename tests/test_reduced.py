@@ -60,7 +60,11 @@ def test_sample_is_repeatable_and_without_replacement(features):
     assert one != [r.tile_id for r in V.sample_rows(features, 10, seed=2).collect()]
 
 
-def test_pair_distances_and_dedupe(spark, features):
+@pytest.mark.parametrize("few", [True, False])
+def test_pair_distances_and_dedupe(spark, features, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(V, "BROADCAST_CANDIDATES", 0)
+        monkeypatch.setattr(V, "HOT_ROWS", 1)
     pairs = spark.createDataFrame([(0, 0), (0, 5), (1, 5)], "candidate int, tile_id int")
     z = features.withColumnRenamed("features", "z")
     got = {(r.candidate, r.tile_id): r.distance for r in V.pair_distance(pairs, z).collect()}

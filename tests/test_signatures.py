@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.test_text import FEW
 from tessella.functions import hashing
+from tessella.operators import joins
 from tessella.operators import signatures as L
 
 
@@ -100,7 +101,7 @@ def test_matches_by_broadcast_shuffle_and_hot_bucket_spread(signed, max_broadcas
 
 
 def test_every_hot_key_meets_the_raised_bound(signed, monkeypatch):
-    monkeypatch.setattr(L, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
     buckets = L.lsh_buckets(signed, 32, 8)
     found = L.similar_to(buckets, [0, 1], max_broadcast=0, hot_rows=5).collect()
     assert {(r.candidate, r.tile_id) for r in found} == plain_matches(signed, [0, 1], 8)
