@@ -5,8 +5,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tessella.functions import vectors
 from tessella.functions.lambdas import computed
 from tessella.operators.joins import HOT_ROWS, spread_join
-from tessella.runtime import broadcast_if_small, cut_lineage, fits_broadcast
+from tessella.runtime import BROADCAST_ROWS, broadcast_if_small, cut_lineage, fits_broadcast
 
 #: Sample cells (rows times width) up to which a basis is fitted from the sample's Gram
 #: matrix on the driver; a larger sample is fitted by Spark.
@@ -60,10 +61,12 @@ def matched_features(features: DataFrame, matches: DataFrame, id_column: str = "
 def sample_rows(df: DataFrame, n: int = 10, seed: int = 0, id_column: str = "tile_id") -> DataFrame:
     """``n`` rows without replacement, the same ones on every run.
 
-    Rows are ordered by a hash of id and seed; each task offers its first ``n`` only.
+    Ids are ordered by a hash of id and seed and each task offers its first ``n`` of them;
+    the rows themselves are fetched afterwards, so wide rows are never sorted or moved.
     """
     draw = F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(str(seed))))
-    return df.orderBy(draw, id_column).limit(n)
+    drawn = df.select(id_column).orderBy(draw, id_column).limit(n)
+    return df.join(F.broadcast(drawn) if n <= BROADCAST_ROWS else drawn, id_column, "left_semi")
 
 
 def column_stats(df: DataFrame, column: str = "features") -> DataFrame:
@@ -97,7 +100,7 @@ def fit_basis(sample: DataFrame, column: str = "features", k: int | None = None)
         raise ValueError("cannot fit a basis to an empty sample")
     if n * width > DRIVER_CELLS:
         return _fit_basis_by_spark(sample, column, k or min(n, width))
-    rows = np.array([r[0] for r in sample.select(F.col(column).cast("array<double>")).collect()])
+    rows = np.array(sorted(r[0] for r in sample.select(F.col(column).cast("array<double>")).collect()))
     return basis_of_rows(rows, k)
 
 
@@ -113,16 +116,11 @@ def basis_of_rows(rows: np.ndarray, k: int | None = None) -> Basis:
 
 
 def _fit_basis_by_spark(sample: DataFrame, column: str, k: int) -> Basis:
-    """Principal components of the z-scored sample; a z-scored sample is centred already."""
-    n = sample.count()
+    """The same by a distributed SVD; pass a ``k`` well below the width for wide vectors."""
     scaled = zscore(sample, fit_stats(sample, column), column)
-    model = PCA(k=k, inputCol="v", outputCol="p").fit(scaled.select(array_to_vector("z").alias("v")))
-    directions = model.pc.toArray()
-    shares = model.explainedVariance.toArray()
-    live = shares > RANK_TOLERANCE * shares[0]
-    # every dimension that varies has unit variance, so these sum to rows x live dimensions
-    varying = sum(s > 0 for s in fit_stats(sample, column).std)
-    return Basis(directions[:, live], np.sqrt(shares[live] * n * varying))
+    rows = MLUtils.convertVectorColumnsFromML(scaled.select(array_to_vector("z").alias("v")), "v")
+    found = RowMatrix(rows).computeSVD(k, computeU=False, rCond=RANK_TOLERANCE**0.5)
+    return Basis(found.V.toArray(), found.s.toArray())
 
 
 def project(

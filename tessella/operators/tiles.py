@@ -33,6 +33,10 @@ STRIPS = 5
 COMPAT_GRID_WIDTH = 5
 
 
+#: Ids up to which a Python list is written into the filter itself.
+LISTED_IDS = 1000
+
+
 # ---- numpy, per tile ---------------------------------------------------------------
 
 
@@ -150,6 +154,8 @@ def tile_raster(rasters: DataFrame, tile: int | None = 500, compat_index: bool =
 
 def select_tiles(tiles: DataFrame, ids: Sequence[str] | DataFrame, column: str = "tile_id") -> DataFrame:
     """Tiles whose id is listed, in a Python list or in the first column of a DataFrame."""
+    if not isinstance(ids, DataFrame) and len(ids) > LISTED_IDS:
+        ids = tiles.sparkSession.createDataFrame([(i,) for i in ids], f"id {dict(tiles.dtypes)[column]}")
     if isinstance(ids, DataFrame):
         listed = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
         return tiles.join(broadcast_if_small(listed), column, "left_semi")

@@ -74,6 +74,8 @@ def test_tiles_are_windows_of_the_image(spark, rasters):
     assert {r.tile_id for r in R.select_tiles(tiles, ["a.zip-0", "a.zip-5"]).collect()} == {"a.zip-0", "a.zip-5"}
     ids = spark.createDataFrame([("a.zip-1",), ("a.zip-1",)], "id string")
     assert [r.tile_id for r in R.select_tiles(tiles, ids).collect()] == ["a.zip-1"]
+    many = [f"a.zip-{i}" for i in range(1, 2000)]
+    assert R.select_tiles(tiles, many).count() == 5
 
 
 def test_compatible_numbers_repeat_on_wide_grids():
