@@ -61,8 +61,8 @@ def tile_index(tile: Column) -> Column:
 
 def text_key_bucket(key: Column, buckets: int) -> Column:
     """Sum of the code points of a text key, modulo ``buckets``."""
-    points = F.transform(F.split(key, ""), lambda ch: F.ascii(ch).cast("bigint"))
-    return F.pmod(F.aggregate(points, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(buckets)).cast("int")
+    total = F.aggregate(F.split(key, ""), F.lit(0).cast("bigint"), lambda acc, ch: acc + F.ascii(ch))
+    return F.pmod(total, F.lit(buckets)).cast("int")
 
 
 def number_key_bucket(key: Column, buckets: int) -> Column:

@@ -45,18 +45,21 @@ def similar_to(
     id_column: str = "tile_id",
     max_broadcast: int = BROADCAST_CANDIDATES,
     hot_rows: int = HOT_ROWS,
+    own: DataFrame | None = None,
 ) -> DataFrame:
     """``candidate, id``: tiles that share at least one (band, bucket) with a candidate.
 
     One equi-join for all candidates; a candidate matches itself.  Few candidates are
     broadcast, so the tiles are never shuffled by bucket and a bucket that holds a third
     of them costs nothing extra.  Many candidates are joined by shuffle with hot buckets
-    spread out, see
-    :func:`tessella.operators.joins.spread_join`.
+    spread out, see :func:`tessella.operators.joins.spread_join`.  ``own`` holds the
+    candidates' buckets where the caller has made them from the candidates alone, which
+    spares hashing all tiles a second time.
     """
     wanted = candidate_frame(buckets, candidates, id_column)
     few = fits_broadcast(wanted, max_broadcast)
-    own = buckets.join(F.broadcast(wanted) if few else wanted, id_column, "left_semi")
+    if own is None:
+        own = buckets.join(F.broadcast(wanted) if few else wanted, id_column, "left_semi")
     own = own.withColumnRenamed(id_column, "candidate")
     if few:
         joined = buckets.join(F.broadcast(own), ["band", "bucket"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessella.operators import reduced as V
 from tessella.operators import signatures as L
 from tessella.operators.tiles import archive_features
-from tessella.runtime import cache_stage
+from tessella.runtime import broadcast_if_small, cache_stage
 from tessella.sources.archives import Decoder, archive_bytes, decode_tiff
 
 
@@ -33,14 +33,19 @@ def similar_tiles(
 ) -> DataFrame:
     """``candidate, id, distance, rank``: tiles that match a candidate, nearest first.
 
-    ``features`` is read several times (buckets, sample, projection), so pass a cached or
-    stored stage when it is costly.  The basis comes from z-scores but raw vectors are
+    ``features`` is read three times (buckets of the candidates, of all tiles, matched
+    rows), so pass a cached or stored stage when it is costly.  The basis comes from z-scores but raw vectors are
     projected; ``scaled`` projects z-scores as well.
     """
-    signed = L.signatures(features, id_column, settings.m)
-    buckets = L.lsh_buckets(signed, settings.m, settings.b, id_column)
-    matches = cache_stage(L.similar_to(buckets, candidates, id_column))
-    matched = V.matched_features(features, matches, id_column)
+
+    def buckets_of(rows: DataFrame) -> DataFrame:
+        signed = L.signatures(rows, id_column, settings.m)
+        return L.lsh_buckets(signed, settings.m, settings.b, id_column)
+
+    wanted = L.candidate_frame(features, candidates, id_column)
+    own = buckets_of(features.join(broadcast_if_small(wanted), id_column, "left_semi"))
+    matches = cache_stage(L.similar_to(buckets_of(features), wanted, id_column, own=own))
+    matched = cache_stage(V.matched_features(features, matches, id_column))
     sample = cache_stage(V.sample_rows(matched, settings.n_sample, settings.seed, id_column))
     basis = V.fit_basis(sample)
     if settings.scaled:
