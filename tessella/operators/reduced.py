@@ -169,9 +169,9 @@ def pair_distance(
     return pairs.select("candidate", id_column, vectors.euclidean(F.col("z"), F.col("z0")).alias("distance"))
 
 
-def unique_pairs(pairs: DataFrame, id_column: str = "tile_id") -> DataFrame:
-    """One row per (candidate, id); needed only where tile ids repeat."""
-    return pairs.dropDuplicates(["candidate", id_column])
+def unique_pairs(distances: DataFrame, id_column: str = "tile_id") -> DataFrame:
+    """One row per (candidate, id), the nearest; needed only where tile ids repeat."""
+    return distances.groupBy("candidate", id_column).agg(F.min("distance").alias("distance"))
 
 
 def rank_by_distance(

@@ -30,6 +30,7 @@ def similar_tiles(
     settings: Settings = Settings(),
     id_column: str = "tile_id",
     top: int | None = None,
+    repeated_ids: bool = False,
 ) -> DataFrame:
     """``candidate, id, distance, rank``: tiles that match a candidate, nearest first.
 
@@ -54,6 +55,8 @@ def similar_tiles(
     else:
         reduced = V.project(matched, basis, id_column)
     distances = V.pair_distance(matches, reduced, id_column)
+    if repeated_ids:
+        distances = V.unique_pairs(distances, id_column)
     largest = L.match_counts(matches).agg(F.max("n")).first()[0] or 0
     return V.rank_by_distance(distances, id_column, top, largest=largest)
 
@@ -64,13 +67,14 @@ def compare_blocks(
     settings: Settings | dict[int, Settings] = Settings(),
     id_column: str = "tile_id",
     blocks: Sequence[int] = (10, 5),
+    repeated_ids: bool = False,
 ) -> DataFrame:
     """``block, candidate, id, distance, rank`` for features (``id, block, features``) of several block sizes."""
     results = []
     for block in blocks:
         chosen = settings[block] if isinstance(settings, dict) else settings
         own = features.where(F.col("block") == block).select(id_column, "features")
-        ranked = similar_tiles(own, candidates, chosen, id_column)
+        ranked = similar_tiles(own, candidates, chosen, id_column, repeated_ids=repeated_ids)
         results.append(ranked.select(F.lit(block).alias("block"), "candidate", id_column, "distance", "rank"))
     out = results[0]
     for more in results[1:]:
@@ -102,4 +106,4 @@ def similar_images(
         features = spark.read.parquet(stage)
     else:
         features = cache_stage(features)
-    return compare_blocks(features, candidates, settings, blocks=blocks)
+    return compare_blocks(features, candidates, settings, blocks=blocks, repeated_ids=compat_index)

@@ -69,7 +69,9 @@ def test_pair_distances_and_dedupe(spark, features, monkeypatch, few):
     z = features.withColumnRenamed("features", "z")
     got = {(r.candidate, r.tile_id): r.distance for r in V.pair_distance(pairs, z).collect()}
     assert got == {(a, b): np.linalg.norm(VECTORS[a] - VECTORS[b]) for a, b in ((0, 0), (0, 5), (1, 5))}
-    assert V.unique_pairs(pairs.union(pairs)).count() == 3
+    found = V.pair_distance(pairs, z)
+    farther = found.withColumn("distance", found.distance + 1)
+    assert sorted(V.unique_pairs(farther.union(found)).collect()) == sorted(found.collect())
     assert V.matched_features(features, pairs).count() == 2
 
 
@@ -95,6 +97,17 @@ def test_top_ranks_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_repeated_tile_numbers_give_one_row_per_pair(spark, tmp_path):
+    image = np.random.default_rng(2).integers(0, 256, (20, 120, 4), dtype=np.uint8).repeat(2, axis=0)
+    (tmp_path / "wide.zip").write_bytes(archive(x_npy=npy(image)))  # 2 x 6 tiles, numbers 0..10
+    rows = I.similar_images(
+        spark, str(tmp_path), ["wide.zip-5"], blocks=(1,), tile=20, settings=I.Settings(m=16, b=2, n_sample=8),
+        decode=decode_npy, suffix=".npy", compat_index=True,
+    ).collect()
+    assert len({r.tile_id for r in rows}) == len(rows) and rows
+    assert {r["rank"] for r in rows} == set(range(1, len(rows) + 1))
+
+
 def test_similar_images_from_archives(spark, tmp_path, tmp_path_factory):
     stage = tmp_path_factory.mktemp("stage")
     rng = np.random.default_rng(21)
