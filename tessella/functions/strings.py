@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 # a str pattern, in Java regex syntax.
 WHITESPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
-NON_WORD_CHAR = r"[^\p{L}\p{N}_]"
+# The complement; most characters are settled by the first, cheaper part.
+NON_WORD_CHAR = r"[[^a-zA-Z0-9_]&&[^\p{L}\p{N}]]"
 
 # Letters that a case-insensitive Unicode match treats as equal although
 # lower-casing keeps them apart.

@@ -28,6 +28,8 @@ def test_word_characters_are_those_of_python(spark):
     chars = [chr(i) for i in range(1, 0x2fff) if not 0xD800 <= i < 0xE000]
     df = spark.createDataFrame([(c,) for c in chars], "c string")
     ours = {r.c for r in df.where(F.col("c").rlike(strings.WORD_CHAR)).collect()}
+    others = {r.c for r in df.where(F.col("c").rlike(strings.NON_WORD_CHAR)).collect()}
+    assert others == set(chars) - ours
     python = {c for c in chars if re.match(r"\w", c)}
     assert ours <= python
     # what Java 17 (Unicode 13) lacks are letters that it does not know at all yet
