@@ -21,8 +21,9 @@ from tessella.runtime import BROADCAST_ROWS, broadcast_if_small, cut_lineage, fi
 #: matrix on the driver; a larger sample is fitted by Spark.
 DRIVER_CELLS = 20_000_000
 
-#: Most candidates whose vectors in the reduced space are broadcast.
+#: Most candidates, and most cells of their vectors, that are broadcast.
 BROADCAST_CANDIDATES = 50_000
+BROADCAST_CELLS = 5_000_000
 
 #: Rows of one candidate up to which one task ranks them.
 WINDOW_ROWS = 2_000_000
@@ -153,14 +154,15 @@ def pair_distance(
     """``candidate, id, distance`` for the matched pairs only.
 
     The candidates' own vectors are joined to the pairs by candidate.  There are few of
-    them as a rule: their number is checked and they are broadcast.  Otherwise a candidate
-    with many matches is spread over several tasks.
+    them as a rule: their number and width are checked and they are broadcast.  Otherwise a
+    candidate with many matches is spread over several tasks.
     """
     z = reduced.select(id_column, F.col(column).alias("z"))
     wanted = matches.select(F.col("candidate").alias(id_column)).distinct()
     few = fits_broadcast(wanted, BROADCAST_CANDIDATES)
     own = z.join(F.broadcast(wanted) if few else wanted, id_column, "left_semi")
     own = own.select(F.col(id_column).alias("candidate"), F.col("z").alias("z0"))
+    few = few and (own.agg(F.sum(F.size("z0"))).first()[0] or 0) <= BROADCAST_CELLS
     pairs = matches.select("candidate", id_column).join(z, id_column)
     if few:
         pairs = pairs.join(F.broadcast(own), "candidate")

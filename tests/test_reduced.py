@@ -60,10 +60,10 @@ def test_sample_is_repeatable_and_without_replacement(features):
     assert one != sorted(r.tile_id for r in V.sample_rows(features, 10, seed=2).collect())
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_pair_distances_and_dedupe(spark, features, monkeypatch, few):
-    if not few:
-        monkeypatch.setattr(V, "BROADCAST_CANDIDATES", 0)
+@pytest.mark.parametrize("bound", [None, "BROADCAST_CANDIDATES", "BROADCAST_CELLS"])
+def test_pair_distances_and_dedupe(spark, features, monkeypatch, bound):
+    if bound:
+        monkeypatch.setattr(V, bound, 0)
         monkeypatch.setattr(V, "HOT_ROWS", 1)
     pairs = spark.createDataFrame([(0, 0), (0, 5), (1, 5)], "candidate int, tile_id int")
     z = features.withColumnRenamed("features", "z")
