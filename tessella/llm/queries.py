@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import table
+from tessella.llm import bpe, jaccard, language
+from tessella.llm.common import held_out, table
 from tessella.llm.mixing import mix, quality_weights
 from tessella.llm.sharding import shard_by_bytes
 
@@ -13,6 +14,35 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file()
+    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(path)("text").alias("ids"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.packed_ids()("ids"), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(path)("ids").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=3, share=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predict = language.language_of(language.fit(docs))
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict("text").alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"), F.col("p.rejected").alias("rejected"))
+
+
 def op10_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = shard_by_bytes(table(spark, sf_dir, "documents"))
     return shards.select(
@@ -22,5 +52,8 @@ def op10_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op9_language": op9_language,
     "op10_shard_bytes": op10_shard_bytes,
 }
