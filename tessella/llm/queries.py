@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, jaccard, language
+from tessella.llm import bpe, jaccard, language, repeats
 from tessella.llm.common import held_out, table
 from tessella.llm.mixing import mix, quality_weights
 from tessella.llm.sharding import shard_by_bytes
@@ -36,6 +36,11 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     predict = language.language_of(language.fit(docs))
@@ -54,6 +59,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language": op9_language,
     "op10_shard_bytes": op10_shard_bytes,
 }
