@@ -9,6 +9,7 @@
 All but the last return the columns of ``documents``.
 """
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,16 +43,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated strings; a character that was cut in part goes; null stays null."""
     cut = repeats.remove_repeats(docs.select(*COLUMNS), into="_cut")
-    text = F.when(F.col("text").isNotNull(), _characters("_cut.kept"))
+    text = F.when(F.col("text").isNotNull(), F.arrow_udf(_characters, "string")("_cut.kept"))
     return cut.withColumn("text", F.when(F.col("_cut.n_removed") > 0, text).otherwise(F.col("text"))).select(
         "doc_id", "text", "lang", "source", F.when(F.col("_cut.n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
     )
 
 
-@F.arrow_udf("string")
-def _characters(raw):
-    import pyarrow as pa
-
+def _characters(raw: pa.Array) -> pa.Array:
     return pa.array([b.decode("utf-8", "ignore") if b is not None else None for b in raw.to_pylist()], pa.string())
 
 

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, jaccard, language, repeats
-from tessella.llm.common import held_out, table
+from tessella.llm import bpe, jaccard, language, repeats, topk, warc
+from tessella.llm.common import held_out, new_folder, table
 from tessella.llm.mixing import mix, quality_weights
 from tessella.llm.sharding import shard_by_bytes
 
@@ -14,6 +14,23 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), weights).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), folder)
+    columns = "record_id string, record_type string, refers_to string, payload_digest string, payload_bytes long"
+    records = warc.read_warc(spark, folder, columns, verify=True).where(F.col("record_type").isin("response", "revisit"))
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
+    number = lambda c: F.when(page(c) != "", page(c).cast("long"))
+    return records.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -57,6 +74,8 @@ def op10_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_exact_topk": op2_exact_topk,
+    "op4_warc_round_trip": op4_warc_round_trip,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_suffix_dedup": op8_suffix_dedup,

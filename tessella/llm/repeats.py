@@ -200,7 +200,6 @@ def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFram
 _CUT_TYPE = "struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept: binary>"
 
 
-@F.arrow_udf(_CUT_TYPE)
 def _without(text: pa.Array, runs: pa.Array) -> pa.Array:
     out = []
     for t, r in zip(text, runs):
@@ -235,4 +234,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", into: str = "cut", hot_c
     # a text's runs are at most as many as its windows
     by_text = runs.groupBy("text_hash").agg(F.collect_set(F.struct("start", "count")).alias("_runs")).withColumnRenamed("text_hash", "_hash")
     joined = docs.withColumn("_key", F.xxhash64(F.col(text))).join(by_text, F.col("_key") == F.col("_hash"), "left")
-    return joined.withColumn(into, _without(F.col(text), F.col("_runs"))).drop("_key", "_hash", "_runs")
+    return joined.withColumn(into, F.arrow_udf(_without, _CUT_TYPE)(F.col(text), F.col("_runs"))).drop("_key", "_hash", "_runs")
