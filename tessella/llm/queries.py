@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, jaccard, language, repeats, topk, warc
+from tessella.llm import bpe, jaccard, language, neighbours, repeats, topk, toxicity, warc
 from tessella.llm.common import held_out, new_folder, table
 from tessella.llm.mixing import mix, quality_weights
 from tessella.llm.sharding import shard_by_bytes
@@ -19,6 +19,10 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), folder)
@@ -53,6 +57,13 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    score = toxicity.toxicity_of(toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
@@ -75,9 +86,11 @@ def op10_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_topk": op2_exact_topk,
+    "op3_nn_descent": op3_nn_descent,
     "op4_warc_round_trip": op4_warc_round_trip,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_toxicity": op7_toxicity,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language": op9_language,
     "op10_shard_bytes": op10_shard_bytes,

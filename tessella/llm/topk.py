@@ -151,7 +151,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     asked = asked.select(F.col("vec_id").alias("query_id"), "width", F.col("embedding").alias("vector"))
     held = rows.select("vec_id", "width", shard.alias("shard"), F.col("embedding").alias("vector"))
     keys = ["block", "shard", "width"]
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block")
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
     dealt = held.select("*", every_block)
 
     def meet(questions):
@@ -161,7 +161,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     asked = asked.withColumn("block", block).withColumn("home", home)
     first = cut(meet(asked.withColumn("shard", F.col("home")).withColumn("floor", F.lit(float("-inf"))).drop("home")))
     reached = first.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k)
-    other = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
     floors = asked.join(reached, "query_id", "left").select(
         "query_id", "width", "vector", "block", "home", F.coalesce(F.col("kth").cast("double"), F.lit(float("-inf"))).alias("floor"), other
     )
