@@ -84,30 +84,36 @@ def prefix_sums(df: DataFrame, order: list[Column], values: dict[str, Column]) -
     )
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``node, component`` for every node of ``edges (a, b)``: the smallest node reachable.
-
-    Each round takes the smallest label among the neighbours and then follows labels of labels,
-    so long chains shrink by halves.  Labels are written after each round.
+def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """``node, component`` for every node of ``edges (a, b)`` that has an edge to another: the
+    smallest node reachable.
+
+    Each round every node joins its neighbour of lowest rank, by a hash that changes with the
+    round, and edges are carried over to what the nodes joined.  Equal edges meet and edges inside
+    go, so the graph shrinks by a constant share a round, chains and stars alike.  What each
+    round leaves is written.
     """
-    both = cut(
-        edges.select("a", "b").where("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b"))
-        .distinct()
-    )
-    labels = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")).select(F.col("a").alias("node"), "c"))
-    for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("node").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("m"))
-        low = labels.join(seen.withColumnRenamed("a", "node"), "node").select(
-            "node", F.least("c", "m").alias("t"), F.col("c").alias("old")
-        )
-        # the label of the label
-        up = low.join(labels.select(F.col("node").alias("t"), F.col("c").alias("tt")), "t", "left")
-        new = cut(up.select("node", F.least("t", F.coalesce("tt", "t")).alias("c"), "old"))
-        changed = not new.where("c <> old").isEmpty()
-        labels = new.select("node", "c")
-        if not changed:
-            return labels.withColumnRenamed("c", "component")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    edges = cut(edges.select("a", "b").where("a <> b").distinct())
+    joined: list[DataFrame] = []
+    for turn in range(max_rounds):
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        both = edges.union(edges.select("b", "a"))
+        low = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("node"), F.least(F.col("low"), rank("a"))["id"].alias("to"))
+        low = cut(low)
+        joined.append(low)
+        at = lambda side: low.select(F.col("node").alias(side), F.col("to").alias(f"{side}2"))  # noqa: B023, E731
+        edges = cut(edges.join(at("a"), "a").join(at("b"), "b").where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")).distinct())
+        if edges.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    roots = joined.pop()
+    while joined:
+        later = roots.select(F.col("node").alias("to"), F.col("to").alias("root"))
+        roots = joined.pop().join(later, "to", "left").select("node", F.coalesce("root", "to").alias("to"))
+    roots = cut(roots)
+    lowest = roots.groupBy("to").agg(F.min("node").alias("component"))
+    return roots.join(lowest, "to").select("node", "component")
 
 
 # -- bytes in numpy ------------------------------------------------------------------------------

@@ -66,7 +66,7 @@ def anchor_runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
 
 
 def _runs(batches):
-    names = ["text_hash", "start", "count", "offset", "anchor", "context"]
+    names = ["text_hash", "run", "anchor", "context"]
     for batch in batches:
         hashes = batch.column(0).to_numpy(zero_copy_only=False)
         for i in range(0, batch.num_rows, 200):
@@ -74,10 +74,20 @@ def _runs(batches):
             found = [anchor_runs(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             columns = [np.concatenate(x) for x in zip(*found)]
             owner = np.repeat(hashes[i : i + 200], [len(f[0]) for f in found])
-            arrays = [owner, columns[0], columns[1].astype(np.int32), columns[2].astype(np.int32), columns[3].view(np.int64), columns[4].view(np.int64)]
+            run = (columns[0] << 16) | (columns[2] << 8) | columns[1]
+            arrays = [owner, run, columns[3].view(np.int64), columns[4].view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
 
 
+def _unpacked(run: str) -> list:
+    """``start, offset, count`` of a run held in one integer; the last two are below 256."""
+    run = F.col(run)
+    return [
+        F.shiftright(run, 16).alias("start"), F.shiftright(run, 8).bitwiseAND(F.lit(255)).cast("int").alias("offset"),
+        run.bitwiseAND(F.lit(255)).cast("int").alias("count"),
+    ]
+
+
 def refine(data: np.ndarray, end: np.ndarray, start: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
     """Bucket identifiers of the suffixes of ``data``, cut at ``length`` bytes, by bucket-pointer
     refinement: suffixes are equal to that depth if and only if their identifiers are, for
@@ -155,23 +165,19 @@ def _settle(group: pa.Table) -> pa.Table:
 def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """``text_hash, start, count``: runs of window starts of ``docs (text_hash, text)`` that
     repeat.  A text in several rows repeats itself."""
-    runs = docs.mapInArrow(_runs, "text_hash long, start long, count int, offset int, anchor long, context long")
-    shared = runs.groupBy("anchor").agg(
-        F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("several")
-    ).where("n > 1").select("anchor", "several")
+    runs = docs.mapInArrow(_runs, "text_hash long, run long, anchor long, context long")
+    shared = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     runs = cut(runs.join(shared, "anchor"))
-    contexts = runs.groupBy("anchor", "context").agg(
-        F.count("*").alias("n"), F.max("several").alias("several"), F.min(F.struct("text_hash", "start", "count", "offset")).alias("at")
-    )
-    contexts = cut(contexts)
+    contexts = cut(runs.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("text_hash", "run")).alias("at")))
     whole = contexts.where("n > 1").select("anchor", "context", F.lit(0).alias("skip"), F.lit(None).cast("int").alias("many"))
-    open_ = contexts.where("several").select("anchor", "context", "at.*")
+    several = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    open_ = contexts.join(several.select("anchor"), "anchor").select("anchor", "context", "at.text_hash", *_unpacked("at.run"))
     texts = docs.join(open_.select("text_hash").distinct(), "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
     raw = F.col("text").cast("binary")
     piece = F.substring(raw, (F.col("start") + 1).cast("int"), F.col("count") + (LENGTH - 1)).alias("bytes")
     pieces = open_.join(texts, "text_hash").select("anchor", "context", "offset", "count", piece)
-    crowded = open_.groupBy("anchor").count().where(F.col("count") > hot_contexts).select("anchor")
-    total = open_.count()
+    crowded = several.where(F.col("n") > hot_contexts).select("anchor")
+    total = several.agg(F.sum("n")).first()[0] or 0
     if crowded.isEmpty():
         plain, windows = pieces, None
     else:
@@ -192,7 +198,8 @@ def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFram
     parts = whole.union(settled)
     if windows is not None:
         parts = parts.union(windows)
-    return runs.join(parts, ["anchor", "context"]).select(
+    found = runs.join(parts, ["anchor", "context"]).select("text_hash", "skip", "many", *_unpacked("run"))
+    return found.select(
         "text_hash", (F.col("start") + F.col("skip")).alias("start"), F.coalesce("many", "count").alias("count")
     )
 
