@@ -31,8 +31,12 @@ def fold_case(text: Column) -> Column:
 
 
 def match_key(text: Column) -> Column:
-    """Case-insensitive comparison key used when matching terms in bodies."""
-    return F.lower(F.translate(text, CASE_PARTNERS_FROM, CASE_PARTNERS_TO))
+    """Case-insensitive comparison key used when matching terms in bodies.
+
+    Partners are mapped before lowering and once more after it, which makes a last sigma of a word ``ς``.
+    """
+    key = F.lower(F.translate(text, CASE_PARTNERS_FROM, CASE_PARTNERS_TO))
+    return F.translate(key, CASE_PARTNERS_FROM, CASE_PARTNERS_TO)
 
 
 def base_name(path: Column) -> Column:

@@ -138,3 +138,16 @@ def test_no_pairing_of_every_post_with_every_term(spark):
     for bound in (10, 0):
         plan = P.term_mentions(dated, terms, bound or 1)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_sigma_counts_alike_inside_and_at_the_end_of_words(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from tessella.functions.markup import count_term
+
+    cases = [("ΟΔΟΣ οδος ΟΔΟΣ. οδοσ", "οδος"), ("ΣΟΦΟΣ σοφός ΣΟΦΟΣ", "σοφος"), ("ΚΟΣΜΟΣ κόσμος", "ΚΟΣΜΟΣ"), ("µm ΜM", "μm")]
+    rows = spark.createDataFrame(cases, "body string, term string").select("body", "term", count_term(F.col("body"), F.col("term")).alias("n"))
+    for r in rows.collect():
+        assert r.n == len(re.findall(rf"\b{re.escape(r.term)}\b", r.body, re.IGNORECASE)), r
