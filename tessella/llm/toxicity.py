@@ -7,7 +7,10 @@ score.  A text's score is its highest window's.  Training knows labels of texts
 clean texts count as clean, and of a toxic text the windows that score highest so far count as toxic.
 """
 
+import zlib
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +29,15 @@ KEPT_WORDS = 200_000
 
 
 def _spot(text: str, size: int) -> int:
-    h = 2166136261
-    for b in text.encode("utf-8", "replace"):
-        h = ((h ^ b) * 16777619) & 0xFFFFFFFF
+    h = zlib.crc32(text.encode("utf-8", "replace"))
     return (h ^ (h >> 15)) % size
 
 
+@lru_cache(maxsize=100_000)
+def _gram(text: str) -> int:
+    return 1 + _spot(text, GRAMS - 1)
+
+
 #: Place of all words, or trigrams, that too few training texts hold to be learned alone.
 RARE = 0
 LEAST_TEXTS = 15
@@ -41,9 +47,9 @@ TRIGRAMS_ALONE = 0.4
 
 def word_inputs(word: str) -> tuple[int, list[int]]:
     """Places of a word and of its character trigrams; only its letters count if it has any."""
-    plain = "".join(filter(str.isalpha, word)) or word
+    plain = word if word.isalpha() else "".join(filter(str.isalpha, word)) or word
     framed = f"<{plain[:64]}>"
-    return 1 + _spot(plain, WORDS - 1), [1 + _spot(framed[i : i + 3], GRAMS - 1) for i in range(len(framed) - 2)] or [RARE]
+    return 1 + _spot(plain, WORDS - 1), [_gram(framed[i : i + 3]) for i in range(len(framed) - 2)] or [RARE]
 
 
 def window_starts(n: int) -> list[int]:
@@ -75,9 +81,15 @@ class Network:
 
     def inputs(self, spots: list[tuple[int, list[int]]]) -> np.ndarray:
         """Input vectors of words."""
-        spots = self.plain(spots)
-        grams = np.array([self.p["gram"][g].mean(axis=0) for _, g in spots], np.float32).reshape(-1, GRAM_DIM)
-        return np.hstack([self.p["word"][[w for w, _ in spots]], grams])
+        if not spots:
+            return np.zeros((0, WORD_DIM + GRAM_DIM), np.float32)
+        words = np.array([w for w, _ in spots])
+        many = np.array([len(g) for _, g in spots])
+        grams = np.fromiter(chain.from_iterable(g for _, g in spots), np.int64, int(many.sum()))
+        words = np.where(self.common_words[words], words, RARE)
+        grams = np.where(self.common_grams[grams], grams, RARE)
+        sums = np.add.reduceat(self.p["gram"][grams], np.cumsum(many) - many, axis=0)
+        return np.hstack([self.p["word"][words], (sums / many[:, None]).astype(np.float32)])
 
     def plain(self, spots):
         """Places with those of rare words and trigrams put together."""
