@@ -46,6 +46,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Like ``cut``, as Parquet.  The copy carries no partitioning, so that a join after it is
+    shuffled on both sides, which lets adaptive execution split a hot key's rows."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else without."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -12,7 +12,8 @@ sorted to ``length`` bytes by bucket-pointer refinement.  Suffixes start in buck
 first bytes; a bucket is refined by sorting on the bucket identifiers of later offsets,
 and what is refined is used at once by the next.  Windows left in one bucket are equal.
 
-An anchor with over ``HOT_CONTEXTS`` distinct contexts does not go to one task: its windows become
+The side of a join that no key repeats in is written first, so that adaptive execution can split
+the other side where a passage or a text has very many copies.  An anchor with over ``HOT_CONTEXTS`` distinct contexts does not go to one task: its windows become
 rows and are counted by their digests.
 
 Texts are told apart by 64-bit hashes, and anchors and contexts compared by 64-bit hashes.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import Roller, cut, mix64, text_arrays
+from tessella.llm.common import Roller, mix64, text_arrays, written
 
 LENGTH = 200
 GRAM = 64
@@ -167,12 +168,13 @@ def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFram
     repeat.  A text in several rows repeats itself."""
     runs = docs.mapInArrow(_runs, "text_hash long, run long, anchor long, context long")
     shared = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    runs = cut(runs.join(shared, "anchor"))
-    contexts = cut(runs.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("text_hash", "run")).alias("at")))
+    runs = written(runs.join(written(shared, "anchors"), "anchor"), "runs")
+    contexts = runs.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("text_hash", "run")).alias("at"))
+    contexts = written(contexts, "contexts")
     whole = contexts.where("n > 1").select("anchor", "context", F.lit(0).alias("skip"), F.lit(None).cast("int").alias("many"))
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    several = written(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "several")
     open_ = contexts.join(several.select("anchor"), "anchor").select("anchor", "context", "at.text_hash", *_unpacked("at.run"))
-    texts = docs.join(open_.select("text_hash").distinct(), "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+    texts = docs.groupBy("text_hash").agg(F.first("text").alias("text"))
     raw = F.col("text").cast("binary")
     piece = F.substring(raw, (F.col("start") + 1).cast("int"), F.col("count") + (LENGTH - 1)).alias("bytes")
     pieces = open_.join(texts, "text_hash").select("anchor", "context", "offset", "count", piece)
@@ -181,7 +183,7 @@ def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFram
     if crowded.isEmpty():
         plain, windows = pieces, None
     else:
-        crowded = cut(crowded)
+        crowded = written(crowded, "crowded")
         plain = pieces.join(crowded, "anchor", "left_anti")
         each = pieces.join(crowded, "anchor").select(
             "anchor", "context", (F.col("offset")).alias("offset"), "bytes", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("skip")
@@ -198,7 +200,7 @@ def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFram
     parts = whole.union(settled)
     if windows is not None:
         parts = parts.union(windows)
-    found = runs.join(parts, ["anchor", "context"]).select("text_hash", "skip", "many", *_unpacked("run"))
+    found = runs.join(written(parts, "parts"), ["anchor", "context"]).select("text_hash", "skip", "many", *_unpacked("run"))
     return found.select(
         "text_hash", (F.col("start") + F.col("skip")).alias("start"), F.coalesce("many", "count").alias("count")
     )
@@ -240,5 +242,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", into: str = "cut", hot_c
     runs = repeated_runs(hashed.where(F.octet_length("text") >= LENGTH), hot_contexts)
     # a text's runs are at most as many as its windows
     by_text = runs.groupBy("text_hash").agg(F.collect_set(F.struct("start", "count")).alias("_runs")).withColumnRenamed("text_hash", "_hash")
+    by_text = written(by_text, "by-text")
     joined = docs.withColumn("_key", F.xxhash64(F.col(text))).join(by_text, F.col("_key") == F.col("_hash"), "left")
     return joined.withColumn(into, F.arrow_udf(_without, _CUT_TYPE)(F.col(text), F.col("_runs"))).drop("_key", "_hash", "_runs")
