@@ -29,10 +29,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import Roller, components, cut, lowered, mix64, prefix_sums, text_arrays, word_bounds
+from tessella.llm.common import Roller, components, cut, lowered, mix64, prefix_sums, text_arrays, word_bounds, written
 
 #: Documents, and hashes, that are compared in one task; larger clusters are cut into blocks.
 CLUSTER_ROWS = 2_000
@@ -336,20 +336,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: int = 80) -> DataFra
     docs = docs.select("doc_id", "text")
     node = F.xxhash64("text").alias("node")
     rows = cut(docs.select("doc_id", node, _sizes(width)(F.col("text")).alias("n_shingles")))
-    offered = docs.select(node, "text").mapInArrow(_offers(width, share), "key long, node long")
-    least = F.min("node").over(Window.partitionBy("key"))
-    stars = offered.withColumn("least", least).where("node <> least")
+    # copies offer the same: they are put together before anything is dealt by key
+    offered = written(docs.select(node, "text").mapInArrow(_offers(width, share), "key long, node long").distinct(), "offers")
+    least = offered.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
+    stars = offered.join(written(least.select("key", "least"), "least"), "key").where("node <> least")
     clusters = components(stars.select(F.col("least").alias("a"), F.col("node").alias("b")))
     sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("n"))
     members = cut(clusters.withColumnRenamed("component", "cluster").join(sizes, "node").select("node", "cluster", "n"))
     placed = cut(_placed(members, share))
-    texts = docs.select(node, "text").join(members.select("node"), "node", "left_semi")
-    texts = texts.groupBy("node").agg(F.first("text").alias("text")).select("node", _sets(width)(F.col("text")).alias("hashes"))
+    texts = docs.select(node, "text").groupBy("node").agg(F.first("text").alias("text")).join(members.select("node"), "node", "left_semi")
+    texts = texts.select("node", _sets(width)(F.col("text")).alias("hashes"))
     groups = placed.join(texts, "node").select("cluster", "one", "two", "side", "node", "hashes")
     links = groups.groupBy("cluster", "one", "two").applyInArrow(_compare(share), "a long, b long")
-    found = components(links).withColumnRenamed("component", "root")
+    found = written(components(links).withColumnRenamed("component", "root"), "roots")
     rooted = rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = rooted.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("lowest"))
+    lowest = written(lowest, "lowest")
     out = rooted.join(lowest, "root", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("node").alias("text_hash"))
