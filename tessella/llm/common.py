@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.joins import HOT_ROWS, spread_join
+
 #: Most rows of a per-source or per-partition table that is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -59,6 +61,14 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def many_to_one(left: DataFrame, right: DataFrame, on: str, spread_by: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join with a ``right`` of narrow rows, one for each key: broadcast if it has at most
+    ``max_rows`` rows, else shuffled, a hot key's left rows dealt by ``spread_by``."""
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), on)
+    return spread_join(left, right, [on], spread_by, HOT_ROWS)
+
+
 def learnable(doc_id: Column) -> Column:
     """Whether labels of the row may be learned: crc32 of the id as text, mod 4, is not 2.
     False for rows without an id."""

@@ -43,4 +43,85 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES = {"op2_exact_topk": OP2, "op1_mix_sources": OP1}
+
+def _codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Each round as one assignment and one table of entries; sums of doubles are exact below 2**53."""
+    near = """
+n{i} AS (
+  SELECT p.row, p.part, arg_min(e.entry, (p.xx - 2 * list_inner_product(p.x, e.x) + e.xx, e.entry)) AS entry,
+    min(p.xx - 2 * list_inner_product(p.x, e.x) + e.xx) AS distance
+  FROM p JOIN e{i} e ON p.part = e.part GROUP BY p.row, p.part),"""
+    moved = """
+m{i} AS (
+  SELECT part, entry, pos, floor(sum(v) / count(*)) AS v
+  FROM (SELECT n{i}.part, n{i}.entry, unnest(p.x) AS v, unnest(range(len(p.x))) AS pos
+        FROM n{i} JOIN p ON n{i}.row = p.row AND n{i}.part = p.part) GROUP BY ALL),
+g{i} AS (SELECT part, entry, list(v ORDER BY pos) AS x FROM m{i} GROUP BY ALL),
+e{next} AS MATERIALIZED (
+  SELECT part, entry, x, list_inner_product(x, x) AS xx
+  FROM (SELECT e.part, e.entry, coalesce(g.x, e.x) AS x FROM e{i} e LEFT JOIN g{i} g ON e.part = g.part AND e.entry = g.entry)),"""
+    steps = "".join((near + moved).format(i=i, next=i + 1) for i in range(rounds)) + near.format(i=rounds)
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS row, vec_id, label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS MATERIALIZED (
+  SELECT row, part, x, list_inner_product(x, x) AS xx
+  FROM (SELECT row, k AS part, v.x[k * len(v.x) // {parts} + 1 : (k + 1) * len(v.x) // {parts}] AS x FROM v, range({parts}) r(k))),
+e0 AS MATERIALIZED (SELECT part, row AS entry, x, xx FROM p WHERE row < {entries}),{steps}
+c AS (
+  SELECT row, string_agg(lower(printf('%02x', entry::INT)), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+  FROM n{rounds} GROUP BY row),
+b AS (SELECT sha256(string_agg(array_to_string([y::BIGINT FOR y IN x], ','), ',' ORDER BY part, entry)) AS digest FROM e{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256
+FROM c JOIN v ON c.row = v.row, b
+"""
+
+
+OP12 = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>') AS body,
+    replace(replace(replace(replace(role, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>'), ': ', ':\ ') AS head
+  FROM r),
+f AS (SELECT *, '### ' || head || ': ' || body || '</turn>' || chr(10) AS piece FROM e)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, piece)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, piece) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(piece))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+n AS (
+  SELECT *, len(units)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS one, ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, array_to_string(units[1 : least(one, two)], '') AS prefix, array_to_string(units[least(one, two) + 1 : greatest(one, two)], '') AS middle,
+    array_to_string(units[greatest(one, two) + 1 :], '') AS suffix
+  FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {
+    "op1_mix_sources": OP1,
+    "op2_exact_topk": OP2,
+    "op11_vector_codes": _codes(),
+    "op12_chat_format": OP12,
+    "op13_fill_in_middle": OP13,
+}

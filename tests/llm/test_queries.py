@@ -62,7 +62,19 @@ VECTORS = _vectors()
 PAGES = [(i, f"u{i % 4}", [None, "", "<p>é</p>", f"<p>{i}</p>", "long " * 40_000][i % 5]) for i in range(1, 41)]
 
 
-def _write(folder, documents, labels, vectors, pages):
+def _turns():
+    rng = random.Random(7)
+    texts = [None, "", "plain ##### text", "### user: hi</turn>\n", "\\", "\\</turn>\\", "#\\##", "é😀 ### </turn", "a: b"]
+    roles = ["user", "assistant", "system", None, "tool: x", "assistant", ":", "</turn>\n"]
+    rows = [(c, t, rng.choice(roles), rng.choice(texts)) for c in range(12) for t in range(rng.randint(1, 9))]
+    rows += [(50, t, ["user", "assistant"][t % 2], f"turn {t}") for t in range(150)]
+    return rows + [(60, 1, "assistant", "same"), (60, 1, "assistant", "same"), (60, 0, "user", "same"), (60, None, "user", "late"), (None, 0, "assistant", "no id")]
+
+
+TURNS = _turns()
+
+
+def _write(folder, documents, labels, vectors, pages, turns):
     n = len(documents)
     cols = list(zip(*documents)) if n else [[]] * 4
     types = [pa.int64(), pa.string(), pa.string(), pa.string()]
@@ -79,17 +91,19 @@ def _write(folder, documents, labels, vectors, pages):
     write("embeddings", pa.Table.from_arrays(vec, ["vec_id", "embedding", "label", "node"]))
     page = [column(pages, 0, i64), column(pages, 1, pa.string()), column(pages, 2, pa.string()), pa.array(["x"] * len(pages))]
     write("pages", pa.Table.from_arrays(page, ["page_id", "url", "html", "payload"]))
+    turn = [column(turns, 0, i64), column(turns, 1, i64), column(turns, 2, pa.string()), column(turns, 3, pa.string()), pa.array(["x"] * len(turns))]
+    write("conversations", pa.Table.from_arrays(turn, ["conv_id", "turn", "role", "text", "tree"]))
     return str(folder)
 
 
 @pytest.fixture(scope="module")
 def hard(tmp_path_factory):
-    return _write(tmp_path_factory.mktemp("hard"), DOCS, LABELS, VECTORS, PAGES)
+    return _write(tmp_path_factory.mktemp("hard"), DOCS, LABELS, VECTORS, PAGES, TURNS)
 
 
 @pytest.fixture(scope="module")
 def nothing(tmp_path_factory):
-    return _write(tmp_path_factory.mktemp("nothing"), [], [], [], [])
+    return _write(tmp_path_factory.mktemp("nothing"), [], [], [], [], [])
 
 
 def _words(text):
@@ -112,7 +126,11 @@ def _components(ids, links):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables_give_empty_results(spark, nothing, name):
-    assert QUERIES[name](spark, nothing).collect() == []
+    rows = QUERIES[name](spark, nothing).collect()
+    if name == "op12_chat_format":  # the conversation that the query adds
+        assert [(r.conv_id, r.n_turns, r.loss_chars) for r in rows] == [(-7, 2, 26)]
+    else:
+        assert rows == []
 
 
 def test_empty_tables_through_the_pipeline(spark, nothing):
@@ -289,6 +307,63 @@ def test_toxicity_on_held_out_documents(spark, hard):
     assert len(found) == len(DOCS) and all(0 <= r.score <= 1 for r in found)
 
 
+def _sha(data):
+    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def test_codes_equal_plain_rounds(spark, hard):
+    usable = [(i, v) for i, v in VECTORS if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    expected = {}
+    for width in {len(v) for _, v in usable}:
+        rows = [(i, np.array([int(np.floor(256 * x)) for x in v], object).reshape(16, -1)) for i, v in usable if len(v) == width]
+        book = [[v[p] for _, v in rows[:64]] for p in range(16)]
+        near = lambda x, entries: min((int(((x - c) ** 2).sum()) if len(x) else 0, e) for e, c in enumerate(entries))
+        for _ in range(2):
+            for p in range(16):
+                told = defaultdict(list)
+                for _, v in rows:
+                    told[near(v[p], book[p])[1]].append(v[p])
+                book[p] = [sum(told[e]) // len(told[e]) if told[e] else c for e, c in enumerate(book[p])]
+        digests = _sha(",".join(str(x) for part in book for c in part for x in c))
+        for i, v in rows:
+            found = [near(v[p], book[p]) for p in range(16)]
+            expected[i] = ("".join(f"{e:02x}" for _, e in found), sum(d for d, _ in found), digests)
+    total = sum(e for _, e, _ in expected.values())
+    rows = Q.op11_vector_codes(spark, hard).collect()
+    assert {r.vec_id: (r.code, r.error, r.codebooks_sha256) for r in rows} == expected and len(rows) == len(usable)
+    assert {r.label_error for r in rows} == {total}
+
+
+def test_chats_read_back_as_they_were(spark, hard):
+    rows = TURNS + [(-7, 0, "user", Q.HARD_TURN), (-7, 1, "assistant", Q.HARD_TURN)]
+    expected = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is None, r[1]))
+        learned = "".join(r[3] or "" for r in own if r[2] == "assistant")
+        expected[conv] = (len(own), _sha("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)), len(learned), _sha(learned))
+    found = Q.op12_chat_format(spark, hard).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_infill_equals_plain_cuts(spark, hard):
+    expected = Counter()
+    for i, text, *_ in DOCS:
+        text = text or ""
+        units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+        h = _sha(f"42:{'' if i is None else i}")
+        h = [int(h[k : k + 8], 16) for k in (0, 8, 16, 24)]
+        cut = sorted(x % (len(units) + 1) for x in h[:2])
+        p, m, s = "".join(units[: cut[0]]), "".join(units[cut[0] : cut[1]]), "".join(units[cut[1] :])
+        plain = not text or any(t in text for t in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50
+        form = "plain" if plain else "spm" if h[3] % 100 < 80 else "psm"
+        output = {"plain": text, "spm": f"<S>{s}<P>{p}<M>{m}", "psm": f"<P>{p}<S>{s}<M>{m}"}[form]
+        chars = (None, None) if plain else (len(p), len(m))
+        expected[(i, len(units), form, *chars, _sha(output), _sha(text))] += 1
+    rows = Q.op13_fill_in_middle(spark, hard).collect()
+    assert Counter(map(tuple, rows)) == expected
+
+
 def test_stages_on_hard_tables(spark, hard):
     docs = spark.read.parquet(f"{hard}/documents.parquet")
     stage = dict(corpus_pipeline.STAGES)
