@@ -151,20 +151,32 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encoded(path: str):
-    """A column function: text to ``array<int>`` of ids, over whole texts; null counts as empty.
+#: What ``coded`` can give for a text, and as what type.
+FIELDS = {"ids": ("array<int>", pa.list_(pa.int32())), "packed": ("binary", pa.binary()), "decoded": ("string", pa.string())}
 
-    The tokenizer file is read on each worker from ``path``, which every node must have.
+
+def coded(path: str, *fields: str):
+    """A column function: text to a struct of ``fields``, each text encoded once, over whole texts;
+    null counts as empty.
+
+    ``ids`` are the token ids, ``packed`` the same as little-endian unsigned 32-bit integers,
+    ``decoded`` the text they stand for.  The tokenizer file is read on each worker from ``path``,
+    which every node must have.  Columns that are made of each other by separate functions would
+    encode every text again, as Spark runs chained functions as one.
     """
 
-    @F.arrow_udf("array<int>")
-    def encode(text: pa.Array) -> pa.Array:
+    def code(text: pa.Array) -> pa.Array:
         to = codec(path)
         packed = [to.encode(t) if t else b"" for t in text.to_pylist()]
-        ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
+        out = {"packed": packed}
+        if "decoded" in fields:
+            out["decoded"] = [to.decode(np.frombuffer(p, "<u4")) for p in packed]
+        if "ids" in fields:
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+            out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
+        return pa.StructArray.from_arrays([pa.array(out[f], FIELDS[f][1]) if f != "ids" else out[f] for f in fields], list(fields))
 
-    return encode
+    return F.arrow_udf(code, ", ".join(f"{f} {FIELDS[f][0]}" for f in fields))
 
 
 def decoded(path: str):
@@ -178,13 +190,3 @@ def decoded(path: str):
         return pa.array([to.decode(i) for i in lists], pa.string())
 
     return decode
-
-
-def packed_ids():
-    """A column function: ``array<int>`` to its little-endian 32-bit bytes."""
-
-    @F.arrow_udf("binary")
-    def pack(ids: pa.Array) -> pa.Array:
-        return pa.array([i.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() if i.is_valid else b"" for i in ids], pa.binary())
-
-    return pack

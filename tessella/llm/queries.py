@@ -42,13 +42,13 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_file()
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(path)("text").alias("ids"))
+    code = bpe.coded(tokenizer_file(), "packed", "decoded")
+    coded = table(spark, sf_dir, "documents").select("doc_id", code("text").alias("code"))
     return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.packed_ids()("ids"), 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(path)("ids").cast("binary"), 256).alias("decoded_sha256"),
+        (F.octet_length("code.packed") / 4).cast("long").alias("n_tokens"),
+        F.sha2("code.packed", 256).alias("ids_sha256"),
+        F.sha2(F.col("code.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -212,6 +212,13 @@ def test_encoding_equals_the_tokenizers_library(spark, hard):
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == expected
 
 
+def test_every_text_is_encoded_once(spark, hard):
+    docs = spark.read.parquet(f"{hard}/documents.parquet")
+    for df in (Q.op5_bpe_round_trip(spark, hard), corpus_pipeline.tokens(spark, docs, hard)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.split("ArrowEvalPython", 1)[1].split("\n")[0].count("code(") == 1
+
+
 def _shingles(text, width):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = _words(lower)
