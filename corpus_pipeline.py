@@ -64,9 +64,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids, decoded``."""
-    path = tokenizer_file()
-    coded = docs.select("doc_id", "lang", "source", bpe.encoded(path)("text").alias("ids"))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", bpe.decoded(path)("ids").alias("decoded"))
+    code = bpe.coded(tokenizer_file(), "ids", "decoded")
+    coded = docs.select("doc_id", "lang", "source", code("text").alias("code"))
+    return coded.select("doc_id", "lang", "source", F.size("code.ids").cast("long").alias("n_tokens"), "code.ids", "code.decoded")
 
 
 STAGES = [
