@@ -5,6 +5,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -13,15 +15,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessella.functions import vectors
-from tessella.functions.lambdas import computed
 from tessella.operators.joins import HOT_ROWS, spread_join
 from tessella.runtime import BROADCAST_ROWS, broadcast_if_small, cut_lineage, fits_broadcast
 
-#: Sample cells (rows times width) up to which a basis is fitted from the sample's Gram
-#: matrix on the driver; a larger sample is fitted by Spark.
+#: Sample cells (rows times width) up to which a basis is fitted on the driver, and the most
+#: cells that the driver ever holds of a Gram matrix or of the directions.
 DRIVER_CELLS = 20_000_000
 
-#: Most candidates, and most cells of their vectors, that are broadcast.
+#: Most candidates, and most cells of their vectors or of a basis, that are broadcast.
 BROADCAST_CANDIDATES = 50_000
 BROADCAST_CELLS = 5_000_000
 
@@ -60,21 +61,101 @@ def matched_features(features: DataFrame, matches: DataFrame, id_column: str = "
 
 
 def sample_rows(df: DataFrame, n: int = 10, seed: int = 0, id_column: str = "tile_id") -> DataFrame:
-    """``n`` rows without replacement, the same ones on every run.
+    """``n`` rows without replacement, the same ones on every run; all rows if there are fewer.
 
-    Ids are ordered by a hash of id and seed and each task offers its first ``n`` of them;
-    the rows themselves are fetched afterwards, so wide rows are never sorted or moved.
+    Ids are ordered by a hash of id and seed and each task offers its first ``n`` of them, counted,
+    so that repeated ids fill the places of as many rows.  The rows themselves are fetched afterwards, so wide rows
+    are never sorted or moved; only of an id that has more rows than places left are rows ranked, by content.
     """
     draw = F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(str(seed))))
-    drawn = df.select(id_column).orderBy(draw, id_column).limit(n)
-    return df.join(F.broadcast(drawn) if n <= BROADCAST_ROWS else drawn, id_column, "left_semi")
+    counted = df.groupBy(id_column).agg(F.count(F.lit(1)).alias("_rows"))
+    first = counted.orderBy(draw, id_column).limit(n)
+    before = W.orderBy(draw, id_column).rowsBetween(W.unboundedPreceding, -1)  # of n ids at most
+    places = first.withColumn("_left", F.lit(n) - F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    places = places.where("_left > 0").select(F.col(id_column).alias("_id"), "_rows", "_left")
+    if n <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    drawn = df.join(places, F.col(id_column).eqNullSafe(F.col("_id")))
+    crowded = F.col("_rows") > F.col("_left")
+    whole = drawn.where(~crowded).select(*df.columns)
+    content = F.xxhash64(*df.columns)
+    part = drawn.where(crowded).withColumn("_nth", F.row_number().over(W.partitionBy("_id").orderBy(content)))
+    return whole.unionByName(part.where(F.col("_nth") <= F.col("_left")).select(*df.columns))
+
+
+# ---- statistics ---------------------------------------------------------------------
+
+
+def _matrix(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as rows of a matrix, and where it holds a value; shorter rows end in gaps."""
+    lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+    width = int(lengths.max()) if len(lengths) else 0
+    flat = vectors.flatten()
+    held = flat.is_valid().to_numpy(zero_copy_only=False)
+    values = np.asarray(pc.fill_null(flat.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False))
+    if len(values) == len(lengths) * width:
+        return values.reshape(len(lengths), width), held.reshape(len(lengths), width)
+    inside = np.arange(width) < lengths[:, None]
+    matrix, mask = np.zeros(inside.shape), np.zeros(inside.shape, bool)
+    matrix[inside], mask[inside] = values, held
+    return matrix, mask
+
+
+def _joined(one: tuple, two: tuple) -> tuple:
+    """Counts, means and squared deviations of two sets of rows together, by pairwise updating."""
+    width = max(len(one[0]), len(two[0]))
+    (n1, m1, s1), (n2, m2, s2) = (tuple(np.pad(x, (0, width - len(x))) for x in part) for part in (one, two))
+    n = n1 + n2
+    share = n2 / np.maximum(n, 1)
+    apart = m2 - m1
+    return n, m1 + apart * share, s1 + s2 + apart**2 * n1 * share
+
+
+_MOMENTS = "n array<double>, mean array<double>, squares array<double>"
+_MOMENT_NAMES = ["n", "mean", "squares"]
+_NOTHING = (np.zeros(0), np.zeros(0), np.zeros(0))
+
+
+def _moment_batch(found: tuple, **more) -> pa.RecordBatch:
+    lists = [pa.array([x], pa.list_(pa.float64())) for x in found]
+    return pa.RecordBatch.from_arrays([*lists, *(pa.array([v]) for v in more.values())], [*_MOMENT_NAMES, *more])
+
+
+def _moments_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = _NOTHING
+    for batch in batches:
+        matrix, mask = _matrix(batch.column(0))
+        n = mask.sum(axis=0).astype(float)
+        mean = np.where(mask, matrix, 0).sum(axis=0) / np.maximum(n, 1)
+        squares = (np.where(mask, matrix - mean, 0) ** 2).sum(axis=0)
+        total = _joined(total, (n, mean, squares))
+    yield _moment_batch(total)
+
+
+def _moments_of_parts(group: pa.Table) -> pa.Table:
+    total = _NOTHING
+    for row in zip(*(group.column(c).to_pylist() for c in _MOMENT_NAMES)):
+        total = _joined(total, tuple(map(np.array, row)))
+    return pa.Table.from_batches([_moment_batch(total, branch=0)])
+
+
+#: Partial results that one task brings together.
+BRANCHES = 64
 
 
 def column_stats(df: DataFrame, column: str = "features") -> DataFrame:
-    """``pos, mean, std``: mean and population standard deviation per dimension."""
-    cells = df.select(F.posexplode(computed(F.col(column))).alias("pos", "x"))
-    x = F.col("x").cast("double")
-    return cells.groupBy("pos").agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))
+    """``pos, mean, std``: mean and population standard deviation per dimension.
+
+    Every task reads its vectors as matrices and sends one row with counts, means and squared
+    deviations, which are joined pairwise, ``BRANCHES`` branches at a time.  NULLs are left out, NaN counts,
+    and vectors may differ in length.
+    """
+    parts = df.select(F.col(column).cast("array<double>").alias("x")).mapInArrow(_moments_of_rows, _MOMENTS)
+    branch = F.pmod(F.spark_partition_id(), F.lit(BRANCHES)).cast("long")
+    some = parts.withColumn("branch", branch).groupBy("branch").applyInArrow(_moments_of_parts, _MOMENTS + ", branch long")
+    whole = some.groupBy("branch").applyInArrow(_moments_of_parts, _MOMENTS + ", branch long")
+    cells = whole.select(F.posexplode(F.arrays_zip("n", "mean", "squares")).alias("pos", "c")).where("c.n > 0")
+    return cells.select("pos", "c.mean", F.sqrt(F.col("c.squares") / F.col("c.n")).alias("std"))
 
 
 def fit_stats(df: DataFrame, column: str = "features") -> ColumnStats:
@@ -92,28 +173,126 @@ def zscore(df: DataFrame, stats: ColumnStats, column: str = "features", out: str
 def fit_basis(sample: DataFrame, column: str = "features", k: int | None = None) -> Basis:
     """Right singular vectors of the z-scored sample; all with a singular value, or the first ``k``.
 
-    A sample is a few rows by intent and its ``n x n`` Gram matrix holds all there is to
-    know about them, so no ``width x width`` matrix is ever formed.  A sample of more than
-    ``DRIVER_CELLS`` cells is fitted by Spark.
+    They come from the smaller of two Gram matrices, that of the sample's rows or that of its
+    columns.  A sample of at most ``DRIVER_CELLS`` cells is fitted on the driver.  Of a larger one, tall
+    or wide, the tasks send partial Gram matrices, which are added up in a tree, and the driver holds
+    ``min(n, width)`` squared numbers, at most ``DRIVER_CELLS``, and the directions.  Where both
+    sides are larger, Spark's own SVD finds the first ``k``.
     """
     n, width = sample.agg(F.count(F.lit(1)), F.max(F.size(column))).first()
     if not n:
         raise ValueError("cannot fit a basis to an empty sample")
-    if n * width > DRIVER_CELLS:
+    if n * width <= DRIVER_CELLS:
+        rows = np.array(sorted(r[0] for r in sample.select(F.col(column).cast("array<double>")).collect()))
+        return basis_of_rows(rows, k)
+    if min(n, width) ** 2 > DRIVER_CELLS:
         return _fit_basis_by_spark(sample, column, k or min(n, width))
-    rows = np.array(sorted(r[0] for r in sample.select(F.col(column).cast("array<double>")).collect()))
-    return basis_of_rows(rows, k)
+    stats = fit_stats(sample, column)
+    mean, scale = np.array(stats.mean), np.array(stats.scale)
+    vectors = sample.select(F.col(column).cast("array<double>").alias("x"))
+    if width <= n:
+        singular, directions = _strongest(_gram_of_columns(vectors, mean, scale), k)
+        return Basis(directions, singular)
+    slices = _column_slices(vectors, width)
+    singular, left = _strongest(_gram_of_rows(slices, mean, scale), k)
+    if width * len(singular) > DRIVER_CELLS:
+        raise ValueError(f"{len(singular)} directions of width {width} are above the driver's limit; pass a smaller k")
+    return Basis(_directions(slices, mean, scale, left / singular, width), singular)
+
+
+def _strongest(gram: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Singular values and vectors from a Gram matrix, noise and all beyond the first ``k`` left out."""
+    values, vectors = np.linalg.eigh(gram)
+    order = np.argsort(values)[::-1]
+    keep = [i for i in order if values[i] > RANK_TOLERANCE * max(values[order[0]], 0.0)][:k]
+    return np.sqrt(values[keep]), vectors[:, keep]
 
 
 def basis_of_rows(rows: np.ndarray, k: int | None = None) -> Basis:
-    """Basis of an in-memory sample, from the eigenvectors of its Gram matrix."""
+    """Basis of an in-memory sample, from the smaller of its Gram matrices."""
     std = rows.std(axis=0)
     z = (rows - rows.mean(axis=0)) / np.where(std == 0, 1.0, std)
-    values, left = np.linalg.eigh(z @ z.T)
-    order = np.argsort(values)[::-1]
-    keep = [i for i in order if values[i] > RANK_TOLERANCE * max(values[order[0]], 0.0)][:k]
-    singular = np.sqrt(values[keep])
-    return Basis((z.T @ left[:, keep]) / singular, singular)
+    if z.shape[1] < z.shape[0]:
+        singular, directions = _strongest(z.T @ z, k)
+        return Basis(directions, singular)
+    singular, left = _strongest(z @ z.T, k)
+    return Basis((z.T @ left) / singular, singular)
+
+
+#: Columns of a wide sample that are handled together.
+SLICE = 4096
+
+_PART = "i long, branch long, v array<double>"
+
+
+def _gram_rows(gram: np.ndarray, branch: int) -> pa.RecordBatch:
+    n = len(gram)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n)), pa.array(np.full(n, branch)), pa.array(list(gram), pa.list_(pa.float64()))], ["i", "branch", "v"]
+    )
+
+
+def _sum_rows(group: pa.Table) -> pa.Table:
+    total = sum(np.array(v) for v in group.column("v").to_pylist())
+    return pa.table({"i": group.column("i")[:1], "branch": pa.array([0]), "v": pa.array([total], pa.list_(pa.float64()))})
+
+
+def _summed(parts: DataFrame) -> np.ndarray:
+    """Partial matrices added up row by row, in two levels; the whole on the driver."""
+    some = parts.withColumn("branch", F.pmod("branch", F.lit(BRANCHES))).groupBy("i", "branch").applyInArrow(_sum_rows, _PART)
+    rows = some.groupBy("i").applyInArrow(_sum_rows, _PART).collect()
+    return np.array([r.v for r in sorted(rows, key=lambda r: r.i)])
+
+
+def _gram_of_columns(vectors: DataFrame, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """``width x width``: every task adds up the products of its rows."""
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram = np.zeros((len(mean), len(mean)))
+        for batch in batches:
+            z = (_matrix(batch.column(0))[0] - mean) / scale
+            gram += z.T @ z
+        yield _gram_rows(gram, TaskContext.get().partitionId())
+
+    return _summed(vectors.mapInArrow(products, _PART))
+
+
+def _column_slices(vectors: DataFrame, width: int) -> DataFrame:
+    """``row, slice, x``: the rows cut into slices of columns.  Rows are written once, so that a task
+    that is run again numbers them alike."""
+    rows = cut_lineage(vectors).withColumn("row", F.monotonically_increasing_id())
+    starts = F.transform(F.sequence(F.lit(0), F.lit((width - 1) // SLICE)), lambda s: F.struct(s.alias("slice"), F.slice("x", s * SLICE + 1, SLICE).alias("x")))
+    return cut_lineage(rows.select("row", F.inline(starts)))
+
+
+def _slice_matrix(group: pa.Table, mean: np.ndarray, scale: np.ndarray) -> tuple[int, np.ndarray]:
+    """One slice of all rows, z-scored, in row order."""
+    group = group.sort_by("row")
+    at = group.column("slice")[0].as_py()
+    own = slice(at * SLICE, (at + 1) * SLICE)
+    return at, (_matrix(group.column("x").combine_chunks())[0] - mean[own]) / scale[own]
+
+
+def _gram_of_rows(slices: DataFrame, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """``n x n``: the products of the rows, slice of columns by slice."""
+
+    def products(group: pa.Table) -> pa.Table:
+        at, z = _slice_matrix(group, mean, scale)
+        return pa.Table.from_batches([_gram_rows(z @ z.T, at)])
+
+    return _summed(slices.groupBy("slice").applyInArrow(products, _PART))
+
+
+def _directions(slices: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, width: int) -> np.ndarray:
+    """The rows combined by ``weights (n x k)``: ``width x k``."""
+
+    def combine(group: pa.Table) -> pa.Table:
+        at, z = _slice_matrix(group, mean, scale)
+        return pa.table({"slice": pa.array([at], pa.int64()), "v": pa.array([(z.T @ weights).tobytes()], pa.binary())})
+
+    found = slices.groupBy("slice").applyInArrow(combine, "slice long, v binary").collect()
+    pieces = [np.frombuffer(r.v).reshape(-1, weights.shape[1]) for r in sorted(found, key=lambda r: r.slice)]
+    return np.concatenate(pieces)[:width]
 
 
 def _fit_basis_by_spark(sample: DataFrame, column: str, k: int) -> Basis:
@@ -131,8 +310,15 @@ def project(
     column: str = "features",
     out: str = "z",
 ) -> DataFrame:
-    """``id, z``: coordinates of raw vectors in the basis, one matrix product per Arrow batch."""
+    """``id, z``: coordinates of raw vectors in the basis, one matrix product per Arrow batch.
+
+    A basis of at most ``BROADCAST_CELLS`` numbers is broadcast.  A larger one is cut into blocks of
+    rows of that size; the vectors are cut alike and meet them by block, and the partial coordinates of
+    a vector are added up.
+    """
     matrix = np.asarray(basis.directions if isinstance(basis, Basis) else basis, dtype=np.float64)
+    if matrix.size > BROADCAST_CELLS:
+        return _project_by_blocks(features, matrix, id_column, column, out)
     shared = features.sparkSession.sparkContext.broadcast(matrix)
     kind = features.schema[id_column].dataType.simpleString()
 
@@ -148,6 +334,40 @@ def project(
     return features.select(id_column, column).mapInArrow(run, f"`{id_column}` {kind}, `{out}` array<double>")
 
 
+def _project_by_blocks(features: DataFrame, matrix: np.ndarray, id_column: str, column: str, out: str) -> DataFrame:
+    width, k = matrix.shape
+    step = max(1, BROADCAST_CELLS // k)
+    blocks = [(b, matrix[b * step : (b + 1) * step].tobytes()) for b in range(-(-width // step))]
+    spark = features.sparkSession
+    # each block is a task's own row of data: nothing is sent to all
+    basis = spark.createDataFrame(blocks, "block int, directions binary").repartition(len(blocks), "block")
+    # rows may repeat an id: they are numbered, and written first, so that numbers hold when a task is run again
+    rows = cut_lineage(features.select(F.col(id_column).alias("id"), F.col(column).cast("array<double>").alias("x")))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.lit(len(blocks) - 1)),
+        lambda b: F.struct(b.alias("block"), F.slice("x", b * step + 1, step).alias("x")),
+    )
+    cut = rows.select("id", "row", F.inline(pieces))
+
+    def multiply(vectors: pa.Table, directions: pa.Table) -> pa.Table:
+        own = np.frombuffer(directions.column("directions")[0].as_py()).reshape(-1, k)
+        z = _matrix(vectors.column("x").combine_chunks())[0] @ own if vectors.num_rows else np.zeros((0, k))
+        return pa.table([vectors.column("id"), vectors.column("row"), pa.array(list(z), pa.list_(pa.float64()))], ["id", "row", "z"])
+
+    kind = features.schema[id_column].dataType.simpleString()
+    # vectors of one block are dealt to as many tasks as there are partitions, each with a copy of the block
+    deals = max(1, rows.rdd.getNumPartitions())
+    dealt = cut.withColumn("deal", F.pmod(F.hash("row"), F.lit(deals)))
+    copies = basis.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+    parts = dealt.groupBy("block", "deal").cogroup(copies.groupBy("block", "deal")).applyInArrow(
+        multiply, f"id {kind}, row long, z array<double>"
+    )
+    total = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.aggregate("parts", F.lit(0.0), lambda s, p: s + F.get(p, i)))
+    summed = parts.groupBy("id", "row").agg(F.collect_list("z").alias("parts"))
+    return summed.select(F.col("id").alias(id_column), total.alias(out))
+
+
 def pair_distance(
     matches: DataFrame, reduced: DataFrame, id_column: str = "tile_id", column: str = "z"
 ) -> DataFrame:

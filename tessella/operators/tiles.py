@@ -17,11 +17,13 @@ from tessella.functions import grids
 from tessella.functions.lambdas import bind
 from tessella.functions.strings import tile_id
 from tessella.runtime import broadcast_if_small
-from tessella.sources.archives import Decoder, decode_tiff, iter_images
+from tessella.sources.archives import Decoder, Rejected, decode_tiff, iter_images
 
 TILE_SCHEMA = (
     "image string, row int, col int, tile_id string, height int, width int, channels int, pixels binary"
 )
+TILE_REJECT_SCHEMA = TILE_SCHEMA + ", reason string, detail string"
+SCAN_SCHEMA = "file_name string, reason string, detail string, tile_id string, block int, features array<tinyint>"
 INTENSITY_SCHEMA = "tile_id string, height int, width int, v array<int>"
 FEATURE_SCHEMA = "tile_id string, block int, features array<tinyint>"
 
@@ -44,7 +46,7 @@ def tile_side(side: int, tile: int | None) -> int:
     """Tile length along a side; with no tile size given, 5 strips, or 10 of a 5000 side."""
     length = tile or side // STRIPS_OF_LARGE_SIDE.get(side, STRIPS)
     if length < 1 or side % length:
-        raise ValueError(f"a side of {side} cannot be cut into equal tiles of {length}")
+        raise Rejected(Rejected.WRONG_SIZE, f"a side of {side} cannot be cut into equal tiles of {length}")
     return length
 
 
@@ -66,6 +68,8 @@ def cut_tiles(
 
 def pixel_intensities(pixels: np.ndarray) -> np.ndarray:
     """Per pixel: mean of the first three channels times the fourth over 100, truncated."""
+    if pixels.shape[-1] < 4:
+        raise Rejected(Rejected.FEW_CHANNELS, f"{pixels.shape[-1]} channels, four are needed")
     colour = pixels[..., :3].sum(axis=-1, dtype=np.int64)
     return np.trunc(colour / 3.0 * pixels[..., 3] / 100.0).astype(np.int32)
 
@@ -77,7 +81,7 @@ def gradient_features(values: np.ndarray, block: int, threshold: float = 1) -> n
     """
     *stack, h, w = values.shape
     if h % block or w % block:
-        raise ValueError(f"a {h}x{w} grid cannot be cut into {block}x{block} blocks")
+        raise Rejected(Rejected.WRONG_SIZE, f"a {h}x{w} grid cannot be cut into {block}x{block} blocks")
     squares = values.reshape(*stack, h // block, block, w // block, block)
     sums = squares.sum(axis=(-3, -1), dtype=np.int64)
     means = sums / float(block * block)
@@ -105,7 +109,7 @@ def _stacked(vectors: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(vectors.ravel()))
 
 
-def _tile_batch(image: str, tiles: Iterable[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+def _tile_batch(image: str, tiles: Iterable[tuple[int, int, int, np.ndarray]], rejects: bool) -> pa.RecordBatch:
     tiles = list(tiles)
     ids = [f"{image}-{index}" for _, _, index, _ in tiles]
     shapes = [p.shape for _, _, _, p in tiles]
@@ -117,39 +121,82 @@ def _tile_batch(image: str, tiles: Iterable[tuple[int, int, int, np.ndarray]]) -
             pa.array(ids, pa.string()),
             *(pa.array([s[k] for s in shapes], pa.int32()) for k in range(3)),
             pa.array([np.ascontiguousarray(p).tobytes() for _, _, _, p in tiles], pa.binary()),
+            *([pa.nulls(len(tiles), pa.string())] * 2 if rejects else []),
         ],
-        ["image", "row", "col", "tile_id", "height", "width", "channels", "pixels"],
+        ["image", "row", "col", "tile_id", "height", "width", "channels", "pixels", *(["reason", "detail"] if rejects else [])],
     )
 
 
-def _feature_batch(ids: list[str], blocks: list[int], vectors: list[np.ndarray]) -> pa.RecordBatch:
+def scan_batch(
+    file_name: str, image: np.ndarray | None, why: Rejected | None,
+    blocks: Sequence[int], tile: int | None, compat_index: bool,
+) -> pa.RecordBatch:
+    """Feature rows of one image, or one row that says why there are none."""
+    ids, used, vectors = [], [], []
+    if image is None:
+        why = why or Rejected(Rejected.NO_MEMBER)
+    else:
+        try:
+            for _, _, index, pixels in cut_tiles(image, tile, compat_index):
+                values = pixel_intensities(pixels)
+                for block in blocks:
+                    ids.append(f"{file_name}-{index}")
+                    used.append(block)
+                    vectors.append(gradient_features(values, block))
+        except Rejected as unfit:
+            why = unfit
+    if why:
+        ids, used, vectors = [None], [None], []
+    n = len(ids)
+    features = pa.nulls(1, pa.list_(pa.int8())) if why else _lists(vectors, pa.int8())
+    told = [pa.array([x] * n, pa.string()) for x in (file_name, why and why.reason, why and why.detail)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.string()), pa.array(blocks, pa.int32()), _lists(vectors, pa.int8())],
-        ["tile_id", "block", "features"],
+        [*told, pa.array(ids, pa.string()), pa.array(used, pa.int32()), features],
+        ["file_name", "reason", "detail", "tile_id", "block", "features"],
     )
 
 
 # ---- DataFrames with binary pixels -------------------------------------------------
 
 
-def tile_raster(rasters: DataFrame, tile: int | None = 500, compat_index: bool = False) -> DataFrame:
-    """Tiles of decoded rasters (rows with a name); emitted strip by strip."""
+def tile_raster(
+    rasters: DataFrame, tile: int | None = 500, compat_index: bool = False, rejects: bool = False
+) -> DataFrame:
+    """Tiles of decoded rasters (rows with a name); emitted strip by strip.
+
+    A raster that cannot be cut stops the job.  With ``rejects`` it gives a row with its
+    name as ``image``, ``reason`` and ``detail`` instead, and so does each raster without a name (with
+    its file name); tiles have NULL there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 name = batch.column("name")[i].as_py()
                 strip: list = []
-                for piece in cut_tiles(_pixels(batch, i), tile, compat_index):
-                    if strip and piece[0] != strip[0][0]:
-                        yield _tile_batch(name, strip)
-                        strip = []
-                    strip.append(piece)
+                try:
+                    for piece in cut_tiles(_pixels(batch, i), tile, compat_index):
+                        if strip and piece[0] != strip[0][0]:
+                            yield _tile_batch(name, strip, rejects)
+                            strip = []
+                        strip.append(piece)
+                except Rejected as why:  # told by the sides, so before any tile
+                    if not rejects:
+                        raise
+                    yield pa.RecordBatch.from_pylist([{"image": name, "reason": why.reason, "detail": why.detail}], schema)
                 if strip:
-                    yield _tile_batch(name, strip)
+                    yield _tile_batch(name, strip, rejects)
 
+    fields = [(n, pa.string()) for n in ("image", "tile_id", "reason", "detail")]
+    fields[1:1] = [("row", pa.int32()), ("col", pa.int32())]
+    fields[4:4] = [("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("pixels", pa.binary())]
+    schema = pa.schema(fields)
     named = rasters.where(F.col("name").isNotNull())
-    return named.select("name", "height", "width", "channels", "pixels").mapInArrow(run, TILE_SCHEMA)
+    cut = named.select("name", "height", "width", "channels", "pixels")
+    if not rejects:
+        return cut.mapInArrow(run, TILE_SCHEMA)
+    unnamed = rasters.where(F.col("name").isNull()).select(F.col("file_name").alias("image"), "reason", F.col("error").alias("detail"))
+    return cut.mapInArrow(run, TILE_REJECT_SCHEMA).unionByName(unnamed, allowMissingColumns=True)
 
 
 def select_tiles(tiles: DataFrame, ids: Sequence[str] | DataFrame, column: str = "tile_id") -> DataFrame:
@@ -216,7 +263,7 @@ def features_of_intensity(intensities: DataFrame, blocks: Sequence[int] = (10,))
     return intensities.select("tile_id", "height", "width", "v").mapInArrow(run, FEATURE_SCHEMA)
 
 
-def archive_features(
+def scan_archives(
     archives: DataFrame,
     blocks: Sequence[int] = (10,),
     tile: int | None = 500,
@@ -224,28 +271,45 @@ def archive_features(
     suffix: str = ".tif",
     compat_index: bool = False,
 ) -> DataFrame:
-    """``tile_id, block, features`` straight from archives (``file_name, content``).
+    """``file_name, reason, detail, tile_id, block, features`` straight from archives
+    (``file_name, content``).
 
     Decoding, tiling, intensity and features are one Arrow step per image; only feature
-    vectors come back.  Archives without an image give no rows.
+    vectors come back.  An archive that is damaged, holds no image, or one of a size, kind or
+    number of channels that does not fit gives one row with its reason and no tile, in the
+    same scan; see :func:`features_of_scan` and :func:`rejects_of_scan`.  A decoder that is not
+    installed fails the job.
     """
     sizes = list(blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file_name, image, _ in iter_images(batch, suffix, decode):
-                if image is None:
-                    continue
-                ids, used, vectors = [], [], []
-                for _, _, index, pixels in cut_tiles(image, tile, compat_index):
-                    values = pixel_intensities(pixels)
-                    for block in sizes:
-                        ids.append(f"{file_name}-{index}")
-                        used.append(block)
-                        vectors.append(gradient_features(values, block))
-                yield _feature_batch(ids, used, vectors)
-
-    return archives.select("file_name", "content").mapInArrow(run, FEATURE_SCHEMA)
+            for file_name, image, why in iter_images(batch, suffix, decode):
+                yield scan_batch(file_name, image, why, sizes, tile, compat_index)
+
+    return archives.select("file_name", "content").mapInArrow(run, SCAN_SCHEMA)
+
+
+def features_of_scan(scan: DataFrame) -> DataFrame:
+    """``tile_id, block, features`` of the archives that could be used."""
+    return scan.where(F.col("reason").isNull()).select("tile_id", "block", "features")
+
+
+def rejects_of_scan(scan: DataFrame) -> DataFrame:
+    """``file_name, reason, detail`` of the others, one row per archive."""
+    return scan.where(F.col("reason").isNotNull()).select("file_name", "reason", "detail")
+
+
+def archive_features(
+    archives: DataFrame,
+    blocks: Sequence[int] = (10,),
+    tile: int | None = 500,
+    decode: Decoder = decode_tiff,
+    suffix: str = ".tif",
+    compat_index: bool = False,
+) -> DataFrame:
+    """The features of :func:`scan_archives` alone.  To learn what was left out, keep the scan."""
+    return features_of_scan(scan_archives(archives, blocks, tile, decode, suffix, compat_index))
 
 
 # ---- DataFrames with array cells ---------------------------------------------------

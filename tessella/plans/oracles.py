@@ -96,35 +96,110 @@ _HALF = """
 half AS (
   SELECT vec_id, r // 2 AS r, c // 2 AS c, sum(v) / 4.0e0 AS v FROM gray GROUP BY 1, 2, 3)"""
 
-# 112 features and 32 bits: 16 chunks of 6 forward, 16 backward that end one before the last.
-_BITS = f"""{_FEAT},
-chunks AS (
-  SELECT vec_id, i, '[' || array_to_string(f[i * 6 + 1 : i * 6 + 6], ', ') || ']' AS s
-  FROM feat, range(16) t(i)
+# What is wrong with an archive, by the last digit of its id.
+_WRONG = """CASE vec_id % 10
+    WHEN 4 THEN 'not uint8 rows x columns x channels' WHEN 5 THEN 'not a zip archive' WHEN 6 THEN 'does not fit the tiles or blocks'
+    WHEN 7 THEN 'too few channels' WHEN 8 THEN 'no member with the suffix' WHEN 9 THEN 'does not decode' END"""
+
+# Images of 4 x 4 pixels of four channels; tiles of 2 x 2 pixels.
+_PIXELS = f"""{_GRAY},
+channels AS (
+  SELECT vec_id, (r * 8 + c) // 16 AS y, (r * 8 + c) // 4 % 4 AS x, (r * 8 + c) % 4 AS ch, greatest(least(v, 255), 0) AS v FROM gray),
+tiled AS (
+  SELECT *, 'e' || vec_id || '.zip' AS image, CAST(y // 2 AS INTEGER) AS row, CAST(x // 2 AS INTEGER) AS col,
+         'e' || vec_id || '.zip-' || (y // 2 * 2 + x // 2) AS tile_id
+  FROM channels WHERE vec_id % 10 NOT IN (4, 5, 6, 8, 9) AND NOT (vec_id % 10 = 7 AND ch = 3))"""
+
+
+def _sign(difference: str) -> str:
+    return f"CASE WHEN {difference} > 1 THEN 1 WHEN {difference} < -1 THEN -1 ELSE 0 END"
+
+
+def _bits(feat: str, n: int, m: int) -> str:
+    """CTE ``bits`` of the CTE ``feat``: ``n`` features, ``m`` bits."""
+    step = n // m
+    if n % m == 0:
+        chunks = f"""
+  SELECT vec_id, i, '[' || array_to_string(f[i * {step} + 1 : (i + 1) * {step}], ', ') || ']' AS s FROM feat, range({m}) t(i)"""
+    else:  # half of the chunks forward, half backward, which end one before the last
+        chunks = f"""
+  SELECT vec_id, i, '[' || array_to_string(f[i * {2 * step} + 1 : (i + 1) * {2 * step}], ', ') || ']' AS s
+  FROM feat, range({m // 2}) t(i)
   UNION ALL
-  SELECT vec_id, i + 16, '[' || array_to_string(f[112 - (i + 1) * 6 : 111 - i * 6], ', ') || ']'
-  FROM feat, range(16) t(i)),
+  SELECT vec_id, i + {m // 2}, '[' || array_to_string(f[{n} - (i + 1) * {2 * step} : {n - 1} - i * {2 * step}], ', ') || ']'
+  FROM feat, range({m // 2}) t(i)"""
+    return f"""{feat},
+chunks AS ({chunks}),
 bits AS (
   SELECT vec_id, i, CAST(substr(ltrim(bin(CAST('0x' || md5(s) AS UHUGEINT)), '0'), 63, 1) AS INTEGER) AS bit
   FROM chunks)"""
 
+
+_BITS = _bits(_FEAT, 112, 32)
+
 _EXEMPLARS = "exemplars AS (SELECT min(vec_id) AS vec_id FROM embeddings GROUP BY label)"
 
 
-def _buckets(b: int) -> str:
+def _buckets(b: int, m: int = 32) -> str:
     return f"""
   SELECT vec_id, CAST(i // {b} AS INTEGER) AS band, CAST(sum(bit * (1 << ({b - 1} - i % {b}))) AS BIGINT) AS bucket
-  FROM bits WHERE i < (32 // {b}) * {b} GROUP BY 1, 2"""
+  FROM bits WHERE i < {m // b * b} GROUP BY 1, 2"""
 
 
-_MATCHES = f"""{_BITS},
+def _matches(bits: str, m: int) -> str:
+    return f"""{bits},
 {_EXEMPLARS},
-buckets AS ({_buckets(8)}),
+buckets AS ({_buckets(8, m)}),
 matches AS (
   SELECT DISTINCT o.vec_id AS candidate, b.vec_id
   FROM buckets b JOIN (SELECT * FROM buckets WHERE vec_id IN (SELECT vec_id FROM exemplars)) o
     USING (band, bucket))"""
 
+
+_MATCHES = _matches(_BITS, 32)
+
+
+def _similar(matches: str, n: int, seed: int) -> str:
+    """Ranked distances in the space that the z-scored rows of a sample of ``n`` span.
+
+    With Z the sample, G = Z Z' and w = Z (x - c), the squared length of the part of x - c in that
+    space is w' H w, H the inverse of G on a largest independent set of rows and zero elsewhere.
+    One step of elimination a row: a row whose pivot vanishes depends on those before it and goes.
+    No singular vectors are computed.
+    """
+    return f"""
+WITH RECURSIVE {matches},
+drawn AS (
+  SELECT f, row_number() OVER (ORDER BY md5(vec_id || ':{seed}'), vec_id) AS i
+  FROM feat WHERE vec_id IN (SELECT vec_id FROM matches) QUALIFY i <= {n}),
+cells AS (SELECT i, unnest(f) AS x, generate_subscripts(f, 1) AS pos FROM drawn),
+stats AS (SELECT pos, avg(x) AS mean, stddev_pop(x) AS sd FROM cells GROUP BY pos),
+z AS MATERIALIZED (
+  SELECT i, list((x - mean) / CASE WHEN sd = 0 THEN 1 ELSE sd END ORDER BY pos) AS z
+  FROM cells JOIN stats USING (pos) GROUP BY i),
+size AS (SELECT CAST(count(*) AS INTEGER) AS n FROM z),
+gram AS (SELECT a.i, list(list_inner_product(a.z, b.z) ORDER BY b.i) AS g FROM z a, z b GROUP BY a.i),
+augmented AS (SELECT list(g || [CASE WHEN j = i THEN 1e0 ELSE 0e0 END FOR j IN range(1, n + 1)] ORDER BY i) AS m FROM gram, size),
+steps AS (
+  SELECT 0 AS k, m FROM augmented
+  UNION ALL
+  SELECT k + 1, [CASE WHEN i = k + 1 THEN p ELSE [r[j] - r[k + 1] * p[j] FOR j IN range(1, len(r) + 1)] END FOR r, i IN m]
+  FROM (SELECT k, m, CASE WHEN m[k + 1][k + 1] > 1e-9 THEN [x / m[k + 1][k + 1] FOR x IN m[k + 1]] ELSE [0 * x FOR x IN m[k + 1]] END AS p FROM steps)
+  WHERE k < len(m)),
+inverse AS (SELECT [r[n + 1 :] FOR r IN m] AS h FROM steps, size WHERE k = n),
+seen AS MATERIALIZED (
+  SELECT vec_id, list(list_inner_product(z, CAST(f AS DOUBLE[])) ORDER BY i) AS p
+  FROM feat, z WHERE vec_id IN (SELECT vec_id FROM matches) GROUP BY vec_id),
+apart AS (
+  SELECT candidate, m.vec_id, [a - b.p[i] FOR a, i IN o.p] AS w
+  FROM matches m JOIN seen o ON m.candidate = o.vec_id JOIN seen b ON m.vec_id = b.vec_id),
+distances AS (
+  SELECT candidate, vec_id, round(sqrt(greatest(list_inner_product(w, [list_inner_product(r, w) FOR r IN h]), 0)), 6) + 0 AS distance
+  FROM apart, inverse)
+SELECT candidate, vec_id, distance,
+       CAST(row_number() OVER (PARTITION BY candidate ORDER BY distance, vec_id) AS INTEGER) AS rank
+FROM distances"""
+
 _DISTANCES = f"""{_MATCHES},
 cells AS (
   SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -221,8 +296,37 @@ ORACLES: dict[str, str] = {
     "reduced_features": f"""
         WITH {_GRAY},{_HALF},{_signs("half", 4, 4)} SELECT vec_id, {_FEATURE_TEXT} FROM feat""",
     "feature_lengths": f"WITH {_FEAT} SELECT CAST(len(f) AS INTEGER) AS length, count(*) AS n FROM feat GROUP BY 1",
+    "archive_features": f"""
+        WITH {_PIXELS},
+        pixels AS (
+          SELECT tile_id, y % 2 AS y, x % 2 AS x, trunc(sum(v) FILTER (ch < 3) / 3.0e0 * max(v) FILTER (ch = 3) / 100.0e0) AS v
+          FROM tiled WHERE vec_id % 10 < 4 GROUP BY 1, 2, 3, tiled.y, tiled.x),
+        corners AS (
+          SELECT tile_id, max(v) FILTER (y = 0 AND x = 0) AS a, max(v) FILTER (y = 0 AND x = 1) AS b,
+                 max(v) FILTER (y = 1 AND x = 0) AS c, max(v) FILTER (y = 1 AND x = 1) AS d
+          FROM pixels GROUP BY 1)
+        SELECT tile_id, CAST(1 AS INTEGER) AS block,
+               concat_ws(',', {_sign("b - a")}, {_sign("d - c")}, {_sign("c - a")}, {_sign("d - b")}) AS features
+        FROM corners
+        UNION ALL SELECT tile_id, 2, '' FROM corners""",
+    "archive_rejects": f"""
+        SELECT 'e' || vec_id || '.zip' AS file_name, {_WRONG} AS reason FROM embeddings WHERE vec_id % 10 > 3""",
+    "raster_tiles": f"""
+        WITH {_PIXELS}
+        SELECT image, row, col, tile_id, CAST(2 AS INTEGER) AS height, CAST(2 AS INTEGER) AS width, CAST(max(ch) + 1 AS INTEGER) AS channels,
+               string_agg(printf('%02x', v), '' ORDER BY y, x, ch) AS cells, CAST(NULL AS VARCHAR) AS reason
+        FROM tiled GROUP BY image, row, col, tile_id
+        UNION ALL
+        SELECT 'e' || vec_id || '.zip', NULL, NULL, NULL, NULL, NULL, NULL, NULL, {_WRONG}
+        FROM embeddings WHERE vec_id % 10 IN (4, 5, 6, 8, 9)""",
+    "raster_pixels": f"""
+        WITH {_PIXELS}
+        SELECT tile_id, string_agg(CAST(v AS VARCHAR), ',' ORDER BY ch) AS pixel
+        FROM tiled WHERE y % 2 = 1 AND x % 2 = 0 GROUP BY tile_id""",
     "signature_bits": f"""
         WITH {_BITS} SELECT vec_id, string_agg(CAST(bit AS VARCHAR), '' ORDER BY i) AS bits FROM bits GROUP BY vec_id""",
+    "signature_bits_divisible": f"""
+        WITH {_bits(_FEAT, 112, 16)} SELECT vec_id, string_agg(CAST(bit AS VARCHAR), '' ORDER BY i) AS bits FROM bits GROUP BY vec_id""",
     "lsh_buckets": f"WITH {_BITS} {_buckets(8)}",
     "buckets_per_tile": f"""
         WITH {_BITS}, buckets AS ({_buckets(8)})
@@ -266,4 +370,9 @@ ORACLES: dict[str, str] = {
     "pair_distance": f"WITH {_DISTANCES} SELECT candidate, vec_id, distance FROM distances",
     "ranked_neighbours": f"WITH {_DISTANCES} SELECT candidate, vec_id, distance, rank FROM ranked",
     "nearest_neighbours": f"WITH {_DISTANCES} SELECT candidate, vec_id, distance, rank FROM ranked WHERE rank <= 5",
+    "similar_images": _similar(_MATCHES, 10, 0),
+    "similar_images_by_block": f"""
+        SELECT CAST(1 AS INTEGER) AS block, * FROM ({_similar(_MATCHES, 10, 0)})
+        UNION ALL
+        SELECT 2, * FROM ({_similar(_matches(_bits(_GRAY + "," + _HALF + "," + _signs("half", 4, 4), 24, 16), 16), 10, 0)})""",
 }

@@ -17,7 +17,8 @@ from tessella.operators import tiles as R
 from tessella.plans import tables as D
 from tessella.plans.blog import industry_mentions
 from tessella.plans.images import Settings, compare_blocks, similar_tiles
-from tessella.runtime import cache_stage
+from tessella.runtime import Stages, cache_stage
+from tessella.sources import archives as A
 from tessella.sources.memory import hash_subset
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,6 +241,34 @@ def feature_lengths(spark, sf):
     return R.feature_lengths(D.feat(spark, sf))
 
 
+def _scan(spark, sf):
+    return R.scan_archives(D.archives(spark, sf), blocks=(1, 2), tile=2, decode=A.decode_npy, suffix=".npy")
+
+
+def archive_features(spark, sf):
+    found = R.features_of_scan(_scan(spark, sf))
+    return found.select("tile_id", "block", _text(F.col("features")).alias("features"))
+
+
+def archive_rejects(spark, sf):
+    return R.rejects_of_scan(_scan(spark, sf)).select("file_name", "reason")
+
+
+def _raster_tiles(spark, sf):
+    rasters = A.read_rasters(D.archives(spark, sf), A.decode_npy, ".npy")
+    return R.tile_raster(rasters, 2, rejects=True)
+
+
+def raster_tiles(spark, sf):
+    cells = F.lower(F.hex("pixels")).alias("cells")
+    return _raster_tiles(spark, sf).select("image", "row", "col", "tile_id", "height", "width", "channels", cells, "reason")
+
+
+def raster_pixels(spark, sf):
+    tiles = _raster_tiles(spark, sf).where("reason IS NULL")
+    return R.pixel_at(tiles, 1, 0).select("tile_id", _text(F.col("pixel")).alias("pixel"))
+
+
 # ---- signatures and matches --------------------------------------------------------
 
 
@@ -259,6 +288,12 @@ def signature_bits(spark, sf):
     return _signed(spark, sf).select("vec_id", _text(F.col("bits"), "").alias("bits"))
 
 
+def signature_bits_divisible(spark, sf):
+    """Sixteen bits of 112 features: chunks of seven, none shared."""
+    signed = L.signatures(D.feat(spark, sf), "vec_id", 16)
+    return signed.select("vec_id", _text(F.col("bits"), "").alias("bits"))
+
+
 def lsh_buckets(spark, sf):
     return _buckets(spark, sf)
 
@@ -332,20 +367,21 @@ def nearest_neighbours(spark, sf):
     return V.rank_by_distance(_distances(spark, sf), "vec_id", top=5)
 
 
-_SETTINGS = Settings(m=D.FEAT_M, b=D.FEAT_B)
+#: Distances tie when equal to six places, so that equal vectors do whatever their rounding errors.
+_SETTINGS = Settings(m=D.FEAT_M, b=D.FEAT_B, decimals=6)
 
 
 def similar_images(spark, sf):
-    ranked = similar_tiles(cache_stage(D.feat(spark, sf)), D.exemplars(spark, sf), _SETTINGS, "vec_id")
-    return ranked.withColumn("distance", _r6(F.col("distance")))
+    with Stages(spark) as stages:
+        return similar_tiles(stages.keep(D.feat(spark, sf)), D.exemplars(spark, sf), _SETTINGS, "vec_id")
 
 
 def similar_images_by_block(spark, sf):
     sized = [D.feat(spark, sf, k).withColumn("block", F.lit(k)) for k in (1, 2)]
-    features = cache_stage(sized[0].unionByName(sized[1]))
-    chosen = {1: _SETTINGS, 2: Settings(m=16, b=8)}
-    ranked = compare_blocks(features, D.exemplars(spark, sf), chosen, "vec_id", (1, 2))
-    return ranked.withColumn("distance", _r6(F.col("distance")))
+    chosen = {1: _SETTINGS, 2: Settings(m=16, b=8, decimals=6)}
+    with Stages(spark) as stages:
+        features = stages.keep(sized[0].unionByName(sized[1]))
+        return compare_blocks(features, D.exemplars(spark, sf), chosen, "vec_id", (1, 2))
 
 
 QUERIES: dict[str, Query] = {
@@ -357,7 +393,8 @@ QUERIES: dict[str, Query] = {
         set_difference_once, split_records, strip_markup, strip_line_ends, post_fields, rejected_posts,
         term_mentions, months_per_term, blog_industry_mentions, tile_grid, tile_ids, select_tiles,
         pixel_at, intensity, block_mean, row_diff_sign, col_diff_sign, lifted_sign, tile_features,
-        reduced_features, feature_lengths, signature_bits, lsh_buckets, buckets_per_tile, lsh_matches,
+        reduced_features, feature_lengths, archive_features, archive_rejects, raster_tiles, raster_pixels, signature_bits,
+        signature_bits_divisible, lsh_buckets, buckets_per_tile, lsh_matches,
         matched_any, lsh_match_counts, lsh_band_sweep, matched_features, sample_rows, column_stats,
         zscore, project_fixed_basis, pair_distance, ranked_neighbours, nearest_neighbours,
         similar_images, similar_images_by_block,

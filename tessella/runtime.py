@@ -1,6 +1,7 @@
 """Cluster-side concerns: size checks before a broadcast, caching, cut lineage."""
 
-import tempfile
+import os
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -43,24 +44,71 @@ def cache_stage(df: DataFrame, replicas: int = 1) -> DataFrame:
     return df.persist(level)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written copy.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, from the session's ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``.  A session in
-    local mode that names none gets a folder of its own.
+    A local session that names none uses one under the working folder; any other must name one.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = os.path.join(os.getcwd(), "spark-warehouse", "stages")
+        spark.conf.set("spark.checkpoint.dir", folder)
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tessella-checkpoint-")
         sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from the written copy."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever Spark can write one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Stages:
+    """Intermediate results with an owner: what is kept here is let go when the block ends.
+
+    ``keep`` caches; ``write`` writes Parquet below the shared folder, which also survives lost
+    executors and ends the plan before it.  Results that still have to be read are written out, or
+    moved to an outer owner by ``write``, before the block ends.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.kept: list[DataFrame] = []
+        self.folders: list[str] = []
+
+    def __enter__(self) -> "Stages":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.append(cache_stage(df))
+        return self.kept[-1]
+
+    def write(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        folder = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        self.folders.append(folder)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def release(self) -> None:
+        while self.kept:
+            self.kept.pop().unpersist()
+        while self.folders:
+            delete_folder(self.spark, self.folders.pop())
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores on an input that is read as fewer splits than there are cores.
 

@@ -53,6 +53,48 @@ def test_a_large_sample_is_fitted_by_spark(features, monkeypatch):
     assert np.allclose(np.abs((got.directions * want.directions).sum(axis=0)), 1)
 
 
+@pytest.mark.parametrize("shape", [(300, 12), (12, 300), (40, 25)])
+def test_tall_and_wide_samples_are_fitted_from_partial_sums(spark, monkeypatch, shape):
+    rows = np.random.default_rng(1).integers(-1, 2, shape)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "tile_id int, features array<tinyint>").repartition(5)
+    want = V.basis_of_rows(rows.astype(float))
+    monkeypatch.setattr(V, "DRIVER_CELLS", max(min(shape) ** 2, 300 * 12 - 1) if shape != (40, 25) else 25 * 25)
+    monkeypatch.setattr(V, "SLICE", 64)
+    monkeypatch.setattr(V, "_fit_basis_by_spark", None)
+    got = V.fit_basis(df)
+    assert got.directions.shape == want.directions.shape
+    assert np.allclose(got.singular_values, want.singular_values)
+    assert np.allclose(np.abs((got.directions * want.directions).sum(axis=0)), 1)
+    assert np.allclose(got.directions @ got.directions.T, want.directions @ want.directions.T)
+
+
+def test_a_basis_too_wide_to_broadcast_meets_vectors_by_block(spark, features, monkeypatch):
+    matrix = np.random.default_rng(2).normal(size=(25, 7))
+    twice = features.union(features)  # rows that repeat their ids
+    want = sorted((r.tile_id, tuple(np.round(r.z, 9))) for r in V.project(twice, matrix).collect())
+    monkeypatch.setattr(V, "BROADCAST_CELLS", 21)
+    found = V.project(twice, matrix)
+    assert sorted((r.tile_id, tuple(np.round(r.z, 9))) for r in found.collect()) == want
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stats_leave_out_nulls_and_take_any_length(spark):
+    rows = [([1.0, 2.0, None],), ([3.0],), (None,), ([],), ([5.0, None, 7.0],), ([1e9, 1e9 + 1, 1e9 + 2],)]
+    df = spark.createDataFrame(rows, "x array<double>").repartition(3)
+    got = {r.pos: (r["mean"], r["std"]) for r in V.column_stats(df, "x").collect()}
+    for pos, values in enumerate(([1, 3, 5, 1e9], [2, 1e9 + 1], [7, 1e9 + 2])):
+        assert np.allclose(got[pos], (np.mean(values), np.std(values)))
+    assert V.column_stats(df.where("x IS NULL"), "x").collect() == []
+
+
+def test_samples_have_their_size_whatever_ids_repeat(spark):
+    rows = [(i // 3, [i % 4]) for i in range(60)]
+    df = spark.createDataFrame(rows, "tile_id int, features array<int>")
+    drawn = V.sample_rows(df.repartition(4), 10, seed=3)
+    assert drawn.count() == 10 and sorted(drawn.collect()) == sorted(V.sample_rows(df, 10, seed=3).collect())
+    assert sorted(V.sample_rows(df, 100).collect()) == sorted(df.collect())
+
+
 def test_sample_is_repeatable_and_without_replacement(features):
     one = sorted(r.tile_id for r in V.sample_rows(features, 10, seed=1).collect())
     two = sorted(r.tile_id for r in V.sample_rows(features.repartition(5), 10, seed=1).collect())
