@@ -1,12 +1,15 @@
 """Dated posts in marked-up files, and mentions of a vocabulary in them."""
 
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import markup
-from tessella.functions.lambdas import computed
 from tessella.functions.strings import NON_WORD_CHAR, WORD_CHAR, match_key
-from tessella.runtime import BROADCAST_ROWS
+from tessella.runtime import BROADCAST_ROWS, fits_broadcast
 
 
 def split_records(df: DataFrame, column: str, delimiter: str, *keep: str, out: str = "part") -> DataFrame:
@@ -50,29 +53,59 @@ def rejected_posts(contents: DataFrame) -> DataFrame:
 
 
 def term_keys(terms: DataFrame) -> DataFrame:
-    """``term, key, anchor, simple`` of a vocabulary (column ``term``).
+    """``term, key, runs, word_first`` of a vocabulary (column ``term``).
 
-    ``key`` is the term in comparison form and ``anchor`` its longest run of word
-    characters.  Both edges of every such run are word boundaries wherever the term
-    matches, so a body that holds the term holds the anchor as a whole word.  A term that
-    is a single run is ``simple``: it and its anchor are the same.  A term without any
-    word character is simple as well.
+    ``key`` is the term in comparison form.  It is a sequence of runs, word characters and others
+    in turn: ``runs`` counts them and ``word_first`` says which kind begins.
     """
-    keyed = terms.where(F.col("term") != "").select("term").distinct()
-    runs = F.split("key", NON_WORD_CHAR + "+")
-    longest = F.element_at(F.array_sort(F.transform(runs, lambda r: F.struct(F.length(r), r.alias("run")))), -1)
-    keyed = keyed.withColumn("key", match_key(F.col("term")))
-    keyed = keyed.withColumn("anchor", F.coalesce(F.nullif(longest["run"], F.lit("")), F.col("key")))
-    return keyed.withColumn("simple", F.col("anchor") == F.col("key"))
+    keyed = terms.where(F.col("term") != "").select("term").distinct().withColumn("key", match_key(F.col("term")))
+    runs = F.regexp_extract_all("key", F.lit(f"{WORD_CHAR}+|{NON_WORD_CHAR}+"), 0)
+    return keyed.withColumn("runs", F.size(runs)).withColumn("word_first", F.col("key").rlike(f"^{WORD_CHAR}"))
+
+
+#: Most different counts kept in a task before they are sent on.
+COUNTS = 1_000_000
+
+_WORD = re.compile(r"\w+")
+
 
+def _gram_counts(shapes: list[tuple[int, bool]], wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts per month of every sequence of whole runs that has one of the shapes.
 
-def _pieces(body_key: Column, with_symbols: bool) -> Column:
-    """Words of a body, followed by the separators between two words if asked for."""
-    words = F.split(body_key, NON_WORD_CHAR + "+")
-    if not with_symbols:
-        return words
-    gaps = F.split(body_key, WORD_CHAR + "+")
-    return F.concat(words, F.slice(gaps, 2, F.greatest(F.size(gaps) - 2, F.lit(0))))
+    Equal sequences are counted from the left without overlap, as a pattern's matches are.
+    """
+
+    def send(counts: dict[tuple[str | None, str], int]) -> pa.RecordBatch:
+        months, keys = zip(*counts) if counts else ((), ())
+        columns = [pa.array(months, pa.string()), pa.array(keys, pa.string()), pa.array(counts.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["year_month", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = wanted.value if wanted is not None else None
+        counts: dict[tuple[str | None, str], int] = {}
+        for batch in batches:
+            for month, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if body is None:
+                    continue
+                edges = [e for m in _WORD.finditer(body) for e in m.span()]
+                for runs, word_first in shapes:
+                    free: dict[str, int] = {}  # where the last one counted ends
+                    for at in range(0 if word_first else 1, len(edges) - runs, 2):
+                        start, stop = edges[at], edges[at + runs]
+                        gram = body[start:stop]
+                        if keep is not None and gram not in keep:
+                            continue
+                        if runs > 1:
+                            if free.get(gram, 0) > start:
+                                continue
+                            free[gram] = stop
+                        counts[month, gram] = counts.get((month, gram), 0) + 1
+                if len(counts) >= COUNTS:
+                    yield send(counts)
+                    counts = {}
+        yield send(counts)
+
+    return run
 
 
 def term_mentions(
@@ -80,55 +113,25 @@ def term_mentions(
 ) -> DataFrame:
     """``year_month, term, n``: whole-word mentions of each term, where there are any.
 
-    ``dated`` has ``year, month, body``; ``terms`` has ``term``.  Instead of pairing every
-    post with every term, each body is cut into words once and the words are equi-joined to
-    the anchors of the terms.  A hit on a simple term is a mention.  A compound term
-    (``non-profit``, ``real estate``) is counted in the body at the first hit of its anchor.
+    ``dated`` has ``year, month, body``; ``terms`` has ``term``.  A term's edges are word
+    boundaries, so a mention is a sequence of whole runs (words and what stands between
+    them) that equals the term.  One pass over the bodies counts the sequences of as many runs as terms
+    have, per task and month, and the counts meet the terms by key; no post is paired with a
+    term.  A key that is everywhere reaches the join as one row a month.
 
-    A vocabulary of at most ``max_broadcast_terms`` rows is broadcast, so only hits are
-    shuffled.  In a larger one the simple terms meet words already summed per month, and
-    the compound terms are broadcast in slices of that size.
+    A vocabulary of at most ``max_broadcast_terms`` terms is sent to the tasks, which then count
+    its sequences alone; of a larger one only the shapes are.  The plan is the same.
     """
     keyed = term_keys(terms)
-    total, compound, symbols = keyed.agg(
-        F.count(F.lit(1)),
-        F.count_if(~F.col("simple")),
-        F.count_if(~F.col("key").rlike(WORD_CHAR)),
-    ).first()
+    shapes = [(r.runs, r.word_first) for r in keyed.select("runs", "word_first").distinct().collect()]
+    few = fits_broadcast(keyed, max_broadcast_terms)
+    wanted = dated.sparkSession.sparkContext.broadcast({r.key for r in keyed.select("key").collect()}) if few else None
     month = markup.year_month(F.col("year"), F.col("month")).alias("year_month")
-    bodies = dated.select(month, match_key(F.col("body")).alias("body_key"))
-    cut = bodies.select("year_month", "body_key", _pieces(F.col("body_key"), symbols > 0).alias("pieces"))
-
-    if total <= max_broadcast_terms:
-        return _mentions_of_broadcast(cut, keyed)
-    found = _mentions_of_summed(cut, keyed.where("simple"))
-    slices = -(-compound // max_broadcast_terms)
-    for i in range(slices):
-        own = keyed.where(~F.col("simple") & (F.pmod(F.xxhash64("term"), F.lit(slices)) == i))
-        found = found.unionByName(_mentions_of_broadcast(cut, own))
-    return found
-
-
-def _mentions_of_broadcast(cut: DataFrame, keyed: DataFrame) -> DataFrame:
-    words = cut.select("*", F.posexplode(computed(F.col("pieces"))).alias("pos", "anchor"))
-    hits = words.join(F.broadcast(keyed), "anchor")
-    is_first = F.array_position("pieces", F.col("anchor")) == F.col("pos") + 1
-    holds = F.contains("body_key", "key")  # a plain search spares most bodies the pattern
-    n = (
-        F.when(F.col("simple"), F.lit(1))
-        .when(is_first & holds, markup.count_keyed(F.col("body_key"), F.col("key")))
-        .otherwise(F.lit(0))
-    )
-    # zero counts go only after the sum: a filter before it would be made a join condition
-    # and count everything twice
-    return drop_zero(hits.groupBy("year_month", "term").agg(F.sum(n).alias("n")))
-
-
-def _mentions_of_summed(cut: DataFrame, simple: DataFrame) -> DataFrame:
-    words = cut.select("year_month", F.explode(computed(F.col("pieces"))).alias("anchor"))
-    summed = words.where("anchor <> ''").groupBy("year_month", "anchor").agg(F.count(F.lit(1)).alias("n"))
-    hits = summed.join(simple, "anchor")
-    return hits.groupBy("year_month", "term").agg(F.sum("n").alias("n"))
+    bodies = dated.select(month, match_key(F.col("body")).alias("body"))
+    found = bodies.mapInArrow(_gram_counts(sorted(shapes), wanted), "year_month string, key string, n long")
+    summed = found.groupBy("year_month", "key").agg(F.sum("n").alias("n"))
+    vocabulary = keyed.select("term", "key")
+    return summed.join(F.broadcast(vocabulary) if few else vocabulary, "key").select("year_month", "term", "n")
 
 
 def term_mentions_by_scan(dated: DataFrame, terms: list[str]) -> DataFrame:

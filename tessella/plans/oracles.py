@@ -18,11 +18,13 @@ members AS (
   SELECT word AS element, 'R' AS label FROM doc_words
   UNION ALL SELECT word, 'S' FROM turn_words)"""
 
-_BLOG_FILES = """
+# Fixed value: word characters of tessella.functions.strings in RE2 syntax.
+_WORD = r"[\p{L}\p{N}_]"
+
+_BLOG_FILES = rf"""
 stems AS (
-  SELECT item_id, lower(regexp_extract(text, '[A-Za-z]+')) AS term FROM benchmark
-  UNION ALL
-  SELECT item_id, lower(regexp_extract(text, '[A-Za-z]+[ -][A-Za-z]+')) FROM benchmark),
+  SELECT item_id, unnest(regexp_extract_all(lower(text), '{_WORD}+') || regexp_extract_all(lower(text), '{_WORD}+[ -]{_WORD}+')) AS term
+  FROM benchmark),
 blog_files AS (
   SELECT 'b' || item_id || '.x.y.' || term || '.z.xml' AS file_name, term FROM stems)"""
 
@@ -34,22 +36,32 @@ lines AS (
 dated AS (
   SELECT 'doc.' || doc_id AS file_name,
          DATE '2004-01-01' + CAST((doc_id * 3 + pos) % 1461 AS INTEGER) AS day,
-         regexp_replace(line, '[^\x20-\x7e]|<', ' ', 'g') AS body
+         replace(line, '<', ' ') AS body
   FROM lines),
 posts AS (
   SELECT file_name, strftime(day, '%Y') AS year, strftime(day, '%B') AS month, body FROM dated)"""
 
-# A cheap containment test first, as each pattern is compiled per row.
+# Every word is put between two marks, in bodies and terms: what a marked body holds of a marked
+# term are whole words.  A post is compared with the terms whose first and last word it holds side
+# by side, and what replacing the term takes away counts its mentions.
 _MENTIONS = rf"""{_BLOG_FILES},{_POSTS},
-terms AS (SELECT DISTINCT term FROM blog_files WHERE term <> ''),
-month_text AS (
-  SELECT year || '-' || month AS year_month, lower(body) AS body FROM posts),
+numbered AS (
+  SELECT row_number() OVER () AS post, year || '-' || month AS year_month, lower(body) AS body FROM posts),
+words AS MATERIALIZED (SELECT post, regexp_extract_all(body, '{_WORD}+') AS w FROM numbered),
+terms AS MATERIALIZED (
+  SELECT term, w[1] AS one, w[2] AS two, regexp_replace(term, '({_WORD}+)', chr(57344) || '\1' || chr(57345), 'g') AS key
+  FROM (SELECT DISTINCT term, regexp_extract_all(term, '{_WORD}+') AS w FROM blog_files WHERE term <> '')),
+pairs AS MATERIALIZED (
+  SELECT post, unnest(w) AS one, unnest(w[2:] || [NULL]) AS two FROM words WHERE len(w) > 0),
+near AS (
+  SELECT post, term, key FROM pairs JOIN terms ON pairs.one = terms.one WHERE terms.two IS NULL
+  UNION
+  SELECT post, term, key FROM pairs JOIN terms ON pairs.one = terms.one AND pairs.two = terms.two),
+marked AS (SELECT post, year_month, regexp_replace(body, '({_WORD}+)', chr(57344) || '\1' || chr(57345), 'g') AS body FROM numbered),
 mentions AS (
   SELECT year_month, term, n FROM (
-    SELECT year_month, term,
-           CAST(sum(len(regexp_extract_all(body, '\b' || term || '\b'))) AS BIGINT) AS n
-    FROM month_text JOIN terms ON contains(body, term)
-    GROUP BY year_month, term)
+    SELECT year_month, term, CAST(sum((length(body) - length(replace(body, key, ''))) // length(key)) AS BIGINT) AS n
+    FROM near JOIN marked ON near.post = marked.post GROUP BY year_month, term)
   WHERE n > 0)"""
 
 _GRAY = """
@@ -248,8 +260,8 @@ ORACLES: dict[str, str] = {
         WITH {_WORD_SETS}
         SELECT element, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM members GROUP BY element""",
     "set_difference": """
-        SELECT c_custkey AS element FROM customer
-        EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%'""",
+        SELECT p_partkey || ':' || p_size AS element FROM part
+        EXCEPT SELECT l_partkey || ':' || CAST(l_quantity AS INTEGER) FROM lineitem""",
     "set_difference_words": f"""
         WITH {_WORD_SETS} SELECT word AS element FROM doc_words EXCEPT SELECT word FROM turn_words""",
     "set_difference_once": f"""

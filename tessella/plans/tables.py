@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import grids
-from tessella.functions.strings import fold_case, words_of
+from tessella.functions.lambdas import computed
+from tessella.functions.strings import WORD_CHAR, fold_case, words_of
 from tessella.operators.tiles import grid_features
 from tessella.runtime import spread
 
@@ -29,12 +30,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R: customers.  S: customers with an urgent order."""
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("element"))
-    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority").startswith("1"))
-    return customers.withColumn("label", F.lit("R")).unionByName(
-        urgent.select(F.col("o_custkey").alias("element"), F.lit("S").alias("label"))
-    )
+    """R: parts and their sizes.  S: what line items name, part and quantity."""
+    parts = table(spark, sf_dir, "part").select(F.concat_ws(":", "p_partkey", "p_size").alias("element"))
+    lines = table(spark, sf_dir, "lineitem")
+    named = F.concat_ws(":", "l_partkey", F.col("l_quantity").cast("int")).alias("element")
+    return parts.withColumn("label", F.lit("R")).unionByName(lines.select(named, F.lit("S").alias("label")))
 
 
 def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +52,8 @@ def _line_date(doc_id: Column, line: Column) -> Column:
 
 
 def _plain(line: Column) -> Column:
-    """The line in printable ASCII without tag brackets."""
-    return F.regexp_replace(line, r"[^\x20-\x7e]|<", " ")
+    """The line without tag brackets, which the files have no other way to write."""
+    return F.replace(line, F.lit("<"), F.lit(" "))
 
 
 def posts_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,11 +92,12 @@ def blog_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``file_name``: names whose fourth field is the first word, or the first two, of an item."""
+    """``file_name``: a name for every word, and for every second pair of words, of every item, as
+    its fourth field."""
     items = table(spark, sf_dir, "benchmark")
-    word = F.lower(F.regexp_extract("text", "[A-Za-z]+", 0))
-    pair = F.lower(F.regexp_extract("text", "[A-Za-z]+[ -][A-Za-z]+", 0))
-    stems = items.select("item_id", F.explode(F.array(word, pair)).alias("term"))
+    found = lambda pattern: F.regexp_extract_all(F.lower("text"), F.lit(pattern), 0)
+    words, pairs = found(f"{WORD_CHAR}+"), found(f"{WORD_CHAR}+[ -]{WORD_CHAR}+")
+    stems = items.select("item_id", F.explode(computed(F.concat(words, pairs))).alias("term"))
     return stems.select(F.concat(F.lit("b"), "item_id", F.lit(".x.y."), "term", F.lit(".z.xml")).alias("file_name"))
 
 
