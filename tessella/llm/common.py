@@ -106,32 +106,37 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``node, component`` for every node of ``edges (a, b)`` that has an edge to another: the
     smallest node reachable.
 
-    Each round every node joins its neighbour of lowest rank, by a hash that changes with the
-    round, and edges are carried over to what the nodes joined.  Equal edges meet and edges inside
-    go, so the graph shrinks by a constant share a round, chains and stars alike.  What each
-    round leaves is written.
+    Each round every root joins its neighbour of lowest rank, by a hash that changes with the
+    round, and edges are carried over to what the roots joined.  Equal edges meet and edges inside
+    go, so the graph shrinks by a constant share a round, chains and stars alike.  A round writes
+    which root joined which, one narrow table of all nodes' roots, and the edges left, and reads
+    nothing older, so no plan spans rounds.  Joins are by sort and shuffle, so that nothing of
+    the graph is collected to the driver for a broadcast.
     """
-    edges = cut(edges.select("a", "b").where("a <> b").distinct())
-    joined: list[DataFrame] = []
+    edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    roots = None
     for turn in range(max_rounds):
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
-        both = edges.union(edges.select("b", "a"))
-        low = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("node"), F.least(F.col("low"), rank("a"))["id"].alias("to"))
-        low = cut(low)
-        joined.append(low)
-        at = lambda side: low.select(F.col("node").alias(side), F.col("to").alias(f"{side}2"))  # noqa: B023, E731
-        edges = cut(edges.join(at("a"), "a").join(at("b"), "b").where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")).distinct())
         if edges.isEmpty():
             break
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+        both = edges.select("a", "b").union(edges.select("b", "a"))
+        low = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("node"), F.least(F.col("low"), rank("a"))["id"].alias("to"))
+        low = written(low, "low")
+        at = lambda name, to: low.select(F.col("node").alias(name), F.col("to").alias(to)).hint("merge")  # noqa: B023, E731
+        if roots is None:
+            roots = low
+        else:
+            moved = roots.join(at("to", "next"), "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+            roots = written(moved, "roots")
+        kept = edges.join(at("a", "a2"), "a").join(at("b", "b2"), "b").where("a2 <> b2")
+        kept = kept.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct()
+        edges = written(kept, "edges")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = joined.pop()
-    while joined:
-        later = roots.select(F.col("node").alias("to"), F.col("to").alias("root"))
-        roots = joined.pop().join(later, "to", "left").select("node", F.coalesce("root", "to").alias("to"))
-    roots = cut(roots)
-    lowest = roots.groupBy("to").agg(F.min("node").alias("component"))
-    return roots.join(lowest, "to").select("node", "component")
+    if roots is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    lowest = written(roots.groupBy("to").agg(F.min("node").alias("component")), "lowest")
+    return roots.join(lowest.hint("merge"), "to").select("node", "component")
 
 
 # -- bytes in numpy ------------------------------------------------------------------------------

@@ -1,5 +1,7 @@
 """Exact Jaccard self-join of documents on word shingles, with signature trees.
 
+First look.  Texts with too many shingles of their own are put aside (``_linkable_sets``).
+
 Candidates.  Two sets with Jaccard similarity t or more differ in at most D = (1-t)/(1+t) (|x|+|y|)
 members.  Sizes fall in classes whose limits grow by 1/t, so a pair lies in one class or in two
 that follow each other; each document takes part at two levels, its own class and the next.  At a
@@ -32,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import Roller, components, cut, lowered, mix64, prefix_sums, text_arrays, word_bounds, written
+from tessella.llm.common import Roller, broadcast_checked, components, lowered, mix64, prefix_sums, text_arrays, word_bounds, written
 
 #: Documents, and hashes, that are compared in one task; larger clusters are cut into blocks.
 CLUSTER_ROWS = 2_000
 CLUSTER_HASHES = 4_000_000
+#: Texts left by the first look that are broadcast, as ids; more are joined by shuffle.
+LINKABLE_ROWS = 500_000
 RANGE = 12
 LEAF = 16
 FANOUT = 8
@@ -132,17 +136,35 @@ def _sizes(width):
     return size_of
 
 
-def _offers(width, share):
+def _long_rows(keys: list[np.ndarray], nodes: pa.Array, name: str) -> pa.RecordBatch:
+    """One row for each key with its node."""
+    owner = np.repeat(nodes.to_numpy(zero_copy_only=False), [len(k) for k in keys])
+    flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(owner, pa.int64())], [name, "node"])
+
+
+def _sampled(width: int, share: int):
+    """Hashes of a fixed part of all shingles: half as many again as may differ, in percent."""
+    percent = np.uint64(min(100, (100 - share) * 3 // 2))
+
+    def sampled(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                sets = shingle_sets(part.column(1), width)
+                yield _long_rows([s[(s >> np.uint64(33)) % np.uint64(100) < percent] for s in sets], part.column(0), "hash")
+
+    return sampled
+
+
+def _offers(share):
     def offers(batches):
         levels = Levels(share)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                keys = [block_keys(s, levels) if len(s) else s for s in shingle_sets(part.column(1), width)]
-                nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)), pa.array(nodes, pa.int64())], ["key", "node"]
-                )
+                sets = [np.frombuffer(s, np.uint64) for s in part.column(1).to_pylist()]
+                yield _long_rows([block_keys(s, levels) for s in sets], part.column(0), "key")
 
     return offers
 
@@ -335,18 +357,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: int = 80) -> DataFra
     """
     docs = docs.select("doc_id", "text")
     node = F.xxhash64("text").alias("node")
-    rows = cut(docs.select("doc_id", node, _sizes(width)(F.col("text")).alias("n_shingles")))
-    # copies offer the same: they are put together before anything is dealt by key
-    offered = written(docs.select(node, "text").mapInArrow(_offers(width, share), "key long, node long").distinct(), "offers")
+    rows = written(docs.select("doc_id", node, _sizes(width)(F.col("text")).alias("n_shingles")), "sizes")
+    sets = _linkable_sets(docs, rows, width, share)
+    offered = sets.select("node", "hashes").mapInArrow(_offers(share), "key long, node long")
     least = offered.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    stars = offered.join(written(least.select("key", "least"), "least"), "key").where("node <> least")
+    # written, so that a hot key's offers are split over tasks
+    stars = offered.join(written(least.select("key", "least"), "least").hint("merge"), "key").where("node <> least")
     clusters = components(stars.select(F.col("least").alias("a"), F.col("node").alias("b")))
-    sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("n"))
-    members = cut(clusters.withColumnRenamed("component", "cluster").join(sizes, "node").select("node", "cluster", "n"))
-    placed = cut(_placed(members, share))
-    texts = docs.select(node, "text").groupBy("node").agg(F.first("text").alias("text")).join(members.select("node"), "node", "left_semi")
-    texts = texts.select("node", _sets(width)(F.col("text")).alias("hashes"))
-    groups = placed.join(texts, "node").select("cluster", "one", "two", "side", "node", "hashes")
+    members = written(clusters.withColumnRenamed("component", "cluster").join(sets.select("node", "n").hint("merge"), "node").select("node", "cluster", "n"), "members")
+    placed = written(_placed(members, share), "placed")
+    groups = placed.join(sets.select("node", "hashes").hint("merge"), "node").select("cluster", "one", "two", "side", "node", "hashes")
     links = groups.groupBy("cluster", "one", "two").applyInArrow(_compare(share), "a long, b long")
     found = written(components(links).withColumnRenamed("component", "root"), "roots")
     rooted = rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -355,3 +375,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: int = 80) -> DataFra
     out = rooted.join(lowest, "root", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("node").alias("text_hash"))
+
+
+def _linkable_sets(docs: DataFrame, rows: DataFrame, width: int, share: int) -> DataFrame:
+    """``node, n, hashes`` of the different texts that may link with another text, written.
+
+    Of a text's shingles at most a ``1 - share/100`` part can be missing from a text it links with.
+    So one with more shingles than that which no other text has cannot link.  They are counted on a fixed
+    sample of all shingles, which can only spare a text.  Most texts go here, with one narrow
+    shuffle; a shingle of many texts is one row a task.
+    """
+    node = F.xxhash64("text").alias("node")
+    sampled = docs.select(node, "text").mapInArrow(_sampled(width, share), "hash long, node long")
+    single = sampled.groupBy("hash").agg(F.min("node").alias("node"), F.max("node").alias("most")).where("node = most")
+    own = single.groupBy("node").agg(F.count("*").alias("own"))
+    copies = rows.where("n_shingles > 0").groupBy("node", "doc_id").agg(F.max("n_shingles").alias("n"), F.count("*").alias("rows"))
+    texts = copies.groupBy("node").agg(F.min(F.struct("doc_id", "rows")).alias("first"), F.max("n").alias("n"))
+    left = texts.join(own.hint("merge"), "node", "left").where(F.coalesce("own", F.lit(0)) * 100 <= (100 - share) * F.col("n"))
+    left = written(left.select(F.col("node").alias("_node"), F.col("first.doc_id").alias("_id"), F.col("first.rows").alias("_rows"), "n"), "linkable")
+    same = (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    chosen = docs.select("doc_id", node, "text").join(broadcast_checked(left, LINKABLE_ROWS), same)
+    sets = chosen.select("node", "n", "_rows", "text")
+    if not left.where("_rows > 1").isEmpty():  # rows that repeat id and text
+        sets = sets.where("_rows = 1").unionByName(sets.where("_rows > 1").dropDuplicates(["node"]))
+    return written(sets.select("node", "n", _sets(width)(F.col("text")).alias("hashes")), "sets")
