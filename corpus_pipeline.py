@@ -10,7 +10,7 @@ All but the last return the columns of ``documents``.
 """
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import bpe, jaccard, language, mixing, repeats
@@ -34,10 +34,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     keep = keep.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     hashed = docs.select(*COLUMNS, F.xxhash64("text").alias("_own"))
     kept = hashed.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left_semi")
-    # several rows may have the same id and text
-    kept = kept.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("source", "lang")))
+    # several rows may have the same id and text; they meet in partial results, a row a task
+    rest = F.min(F.struct("source", "lang", "n_chars", "text")).alias("rest")
+    one = kept.groupBy("doc_id", "_own").agg(rest).select("doc_id", "rest.text", "rest.lang", "rest.source", "rest.n_chars")
     wordless = F.coalesce(~F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(True))
-    return kept.where("_nth = 1").select(*COLUMNS).unionByName(docs.select(*COLUMNS).where(wordless))
+    return one.unionByName(docs.select(*COLUMNS).where(wordless))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
