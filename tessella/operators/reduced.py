@@ -29,6 +29,9 @@ BROADCAST_CELLS = 5_000_000
 #: Rows of one candidate up to which one task ranks them.
 WINDOW_ROWS = 2_000_000
 
+#: Largest ``top`` for which Spark cuts each task's rows before a window's shuffle.
+KEPT_BEFORE_SHUFFLE = 1000
+
 #: Eigenvalues below this part of the largest one are noise.
 RANK_TOLERANCE = 1e-12
 
@@ -405,21 +408,22 @@ def rank_by_distance(
 ) -> DataFrame:
     """``candidate, id, distance, rank``: nearest first, ties by id.
 
-    With ``top`` each task keeps its own first ``top`` rows per candidate before the
-    shuffle.  Without it, candidates with more than ``window_rows`` rows are ranked by a
+    With ``top`` of at most ``KEPT_BEFORE_SHUFFLE`` each task keeps its own first rows per candidate before
+    the shuffle.  Without it, or with more, candidates with more than ``window_rows`` rows are ranked by a
     range-partitioned sort instead of a window in one task.  ``largest`` is the number of
     rows of the largest candidate where the caller knows it, else it is counted.
     """
     order = ["distance", id_column]
     nearest = W.partitionBy("candidate").orderBy(*order)
-    if top is not None:
-        return distances.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top)
+    best = F.lit(True) if top is None else F.col("rank") <= top
+    if top is not None and top <= KEPT_BEFORE_SHUFFLE:
+        return distances.withColumn("rank", F.row_number().over(nearest)).where(best)
     if largest is None:
         sizes = distances.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= window_rows:
-        return distances.withColumn("rank", F.row_number().over(nearest))
-    return rank_by_ranges(distances, "candidate", order)
+        return distances.withColumn("rank", F.row_number().over(nearest)).where(best)
+    return rank_by_ranges(distances, "candidate", order).where(best)
 
 
 def rank_by_ranges(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:

@@ -129,6 +129,8 @@ def test_ranks_by_window_and_by_ranges(spark, window_rows):
         own = sorted((d, t) for k, t, d in rows if k == c)
         want += [(c, i + 1, t) for i, (_, t) in enumerate(own)]
     assert got == want
+    many = V.rank_by_distance(df, top=1500, window_rows=window_rows)
+    assert sorted((r.candidate, r["rank"], r.tile_id) for r in many.collect()) == [w for w in want if w[1] <= 1500]
     top = V.rank_by_distance(df, top=3)
     assert sorted((r.candidate, r["rank"], r.tile_id) for r in top.collect()) == [w for w in want if w[1] <= 3]
 

@@ -107,6 +107,21 @@ def test_every_hot_key_meets_the_raised_bound(signed, monkeypatch):
     assert {(r.candidate, r.tile_id) for r in found} == plain_matches(signed, [0, 1], 8)
 
 
+def test_keys_hot_on_both_sides_are_dealt_to_a_grid(spark):
+    """Half of the left and half of the right rows have one key; another is hot on one side alone."""
+    left = spark.createDataFrame([(0 if i % 2 else i % 40, i) for i in range(2000)] + [(77, i) for i in range(300)], "k int, a int")
+    right = spark.createDataFrame([(0 if i % 2 else i % 40, i) for i in range(600)] + [(88, 1)] * 500, "k int, b int")
+    want = sorted(left.join(right, "k").select("k", "a", "b").collect())
+    for hot_rows, hot_pairs in ((100, 10**9), (10**6, 2000), (100, 2000)):
+        one, two = joins.dealt_sides(left, right, ["k"], "a", hot_rows, hot_pairs)
+        cells = one.groupBy("k", "_row", "_col").count().join(two.groupBy("k", "_row", "_col").agg(F.count("*").alias("others")), ["k", "_row", "_col"], "full").collect()
+        if hot_rows == 100:
+            assert max(r["count"] or 0 for r in cells) <= 200 and max(r.others or 0 for r in cells if r.k != 88) <= 200
+        assert max((r["count"] or 0) * (r.others or 0) for r in cells) <= (3 * hot_pairs if hot_pairs < 10**9 else 200 * 200)  # slices are drawn by hash
+        assert sorted(joins.spread_join(left, right, ["k"], "a", hot_rows, hot_pairs).select("k", "a", "b").collect()) == want
+    assert joins.dealt_sides(left, right, ["k"], "a", 10**6, 10**9) is None
+
+
 def test_reports(signed):
     buckets = L.lsh_buckets(signed, 32, 8)
     matches = L.similar_to(buckets, [1, 3])

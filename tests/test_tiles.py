@@ -158,3 +158,10 @@ def test_lifted_function_keeps_nulls_and_empties(spark):
     df = spark.createDataFrame([(1, [1, 5, 1]), (2, None), (3, [])], "id int, v array<int>")
     out = lifted.lift_over_arrays(df, "v", lambda x: x * 10.5, "double")
     assert {r.id: r.v for r in out.collect()} == {1: [10.5, 52.5, 10.5], 2: None, 3: []}
+
+
+def test_lifted_function_sees_exact_integers_and_no_null_elements(spark):
+    rows = [(1, [2**53 + 1, None, 2**53 + 1, 5]), (2, None), (3, []), (4, [None])]
+    df = spark.createDataFrame(rows, "i int, v array<bigint>")
+    out = {r.i: r.v for r in lifted.lift_over_arrays(df, "v", lambda x: x + 1, "bigint").collect()}
+    assert out == {1: [2**53 + 2, None, 2**53 + 2, 6], 2: None, 3: [], 4: [None]}
