@@ -8,20 +8,23 @@ symbol and offers the two new neighbours, so a word of n bytes takes O(n log n),
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Unicode white space; what str.split() cuts at besides, 0x1C to 0x1F, is not in it.
 _SPACES = "\t-\r \x85\xa0  -     　"
 _CUT = re.compile(f"[{_SPACES}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Most entries of each half of a store of known chunks or words.
-KEPT = 250_000
+KEPT = 100_000
 #: Longest chunk or word, in characters, that is kept.
 KEPT_LENGTH = 64
 
@@ -155,28 +158,43 @@ def codec(path: str) -> Codec:
 FIELDS = {"ids": ("array<int>", pa.list_(pa.int32())), "packed": ("binary", pa.binary()), "decoded": ("string", pa.string())}
 
 
-def coded(path: str, *fields: str):
-    """A column function: text to a struct of ``fields``, each text encoded once, over whole texts;
-    null counts as empty.
+#: Texts whose ids and decoded texts are held at once.
+TEXTS_AT_ONCE = 200
+
+
+def coded(df: DataFrame, path: str, *fields: str, text: str = "text", into: str = "code") -> DataFrame:
+    """``df`` with a struct ``into`` of ``fields`` in place of the column ``text``, each text encoded
+    once, over whole texts; null counts as empty.
 
     ``ids`` are the token ids, ``packed`` the same as little-endian unsigned 32-bit integers,
     ``decoded`` the text they stand for.  The tokenizer file is read on each worker from ``path``,
-    which every node must have.  Columns that are made of each other by separate functions would
-    encode every text again, as Spark runs chained functions as one.
+    which every node must have.  Results leave in small batches, so memory is bounded by the longest texts.  Rows
+    that repeat stay, an empty table stays empty, and other columns pass, whatever their names,
+    but one called ``into``, which is replaced.
     """
+    others = [c for c in df.columns if c not in (text, into)]
+    kind = T.StructType([*(df.schema[c] for c in others), *T._parse_datatype_string(f"`{into}` struct<{', '.join(f'{f}: {FIELDS[f][0]}' for f in fields)}>").fields])
 
-    def code(text: pa.Array) -> pa.Array:
+    def code(texts: list[str | None]) -> pa.StructArray:
         to = codec(path)
-        packed = [to.encode(t) if t else b"" for t in text.to_pylist()]
-        out = {"packed": packed}
+        packed = [to.encode(t) if t else b"" for t in texts]
+        out = {}
+        if "packed" in fields:
+            out["packed"] = pa.array(packed, pa.binary())
         if "decoded" in fields:
-            out["decoded"] = [to.decode(np.frombuffer(p, "<u4")) for p in packed]
+            out["decoded"] = pa.array([to.decode(np.frombuffer(p, "<u4")) for p in packed], pa.string())
         if "ids" in fields:
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
             out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
-        return pa.StructArray.from_arrays([pa.array(out[f], FIELDS[f][1]) if f != "ids" else out[f] for f in fields], list(fields))
+        return pa.StructArray.from_arrays([out[f] for f in fields], list(fields))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], code(part.column(len(others)).to_pylist())], [*others, into])
 
-    return F.arrow_udf(code, ", ".join(f"{f} {FIELDS[f][0]}" for f in fields))
+    return df.select(*others, text).mapInArrow(run, kind)
 
 
 def decoded(path: str):

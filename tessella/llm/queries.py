@@ -42,8 +42,7 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = bpe.coded(tokenizer_file(), "packed", "decoded")
-    coded = table(spark, sf_dir, "documents").select("doc_id", code("text").alias("code"))
+    coded = bpe.coded(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), "packed", "decoded")
     return coded.select(
         "doc_id",
         (F.octet_length("code.packed") / 4).cast("long").alias("n_tokens"),
