@@ -65,8 +65,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids, decoded``."""
-    code = bpe.coded(tokenizer_file(), "ids", "decoded")
-    coded = docs.select("doc_id", "lang", "source", code("text").alias("code"))
+    coded = bpe.coded(docs.select("doc_id", "lang", "source", "text"), tokenizer_file(), "ids", "decoded")
     return coded.select("doc_id", "lang", "source", F.size("code.ids").cast("long").alias("n_tokens"), "code.ids", "code.decoded")
 
 
