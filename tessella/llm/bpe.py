@@ -118,6 +118,10 @@ class Codec:
             i = after[i]
         return out
 
+    def forget(self) -> None:
+        """Let the known chunks and words go."""
+        self.kept, self.kept_words = _Store(self._chunk), _Store(self._word)
+
     def _chunk(self, chunk: str) -> bytes:
         """Packed ids of a run of text without white space."""
         # letter by letter, so a final sigma is like any other
@@ -193,6 +197,8 @@ def coded(df: DataFrame, path: str, *fields: str, text: str = "text", into: str
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], code(part.column(len(others)).to_pylist())], [*others, into])
+        codec(path).forget()  # a worker may wait long for its next task
+        pa.default_memory_pool().release_unused()
 
     return df.select(*others, text).mapInArrow(run, kind)
 

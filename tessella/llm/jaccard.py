@@ -131,7 +131,10 @@ def block_keys(hashes: np.ndarray, levels: Levels) -> np.ndarray:
 def _sizes(width):
     @F.arrow_udf("long")
     def size_of(text: pa.Array) -> pa.Array:
-        return pa.array([len(s) for s in shingle_sets(text, width)], pa.int64())
+        sizes = []
+        for i in range(0, len(text), 500):  # the sets of a whole batch need not be held at once
+            sizes += [len(s) for s in shingle_sets(text.slice(i, 500), width)]
+        return pa.array(sizes, pa.int64())
 
     return size_of
 
