@@ -31,7 +31,7 @@ GRAM = 64
 #: Window starts per step of numpy work.
 STEP = 1 << 19
 #: Contexts that are sorted together in one task.
-TASK_CONTEXTS = 10_000
+TASK_CONTEXTS = 4_000
 HOT_CONTEXTS = 20_000
 
 _PLACE = np.uint64((1 << 20) - 1)
