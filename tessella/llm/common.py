@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,6 +57,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Rows per Arrow batch while texts go through Python; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else without."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

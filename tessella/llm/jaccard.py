@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import Roller, broadcast_checked, components, lowered, mix64, prefix_sums, text_arrays, word_bounds, written
+from tessella.llm.common import Roller, broadcast_checked, components, lowered, mix64, prefix_sums, small_batches, text_arrays, word_bounds, written
 
 #: Documents, and hashes, that are compared in one task; larger clusters are cut into blocks.
 CLUSTER_ROWS = 2_000
@@ -360,8 +360,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: int = 80) -> DataFra
     """
     docs = docs.select("doc_id", "text")
     node = F.xxhash64("text").alias("node")
-    rows = written(docs.select("doc_id", node, _sizes(width)(F.col("text")).alias("n_shingles")), "sizes")
-    sets = _linkable_sets(docs, rows, width, share)
+    with small_batches(docs.sparkSession):
+        rows = written(docs.select("doc_id", node, _sizes(width)(F.col("text")).alias("n_shingles")), "sizes")
+        sets = _linkable_sets(docs, rows, width, share)
     offered = sets.select("node", "hashes").mapInArrow(_offers(share), "key long, node long")
     least = offered.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
     # written, so that a hot key's offers are split over tasks

@@ -165,7 +165,10 @@ def language_of(model: Model | None):
 
     @F.arrow_udf("struct<lang: string, score: double, rejected: boolean>")
     def predict(text: pa.Array) -> pa.Array:
-        langs, scores, rejected = classify(text.to_pylist(), model)
+        langs, scores, rejected = [], [], []
+        for i in range(0, len(text), STEP):  # a whole batch of texts need not be held as strings
+            for out, found in zip((langs, scores, rejected), classify(text.slice(i, STEP).to_pylist(), model)):
+                out += found
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
             ["lang", "score", "rejected"],
