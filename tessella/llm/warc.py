@@ -1,9 +1,10 @@
 """WARC archives as a Spark data source in Python, read and written.
 
-Files are planned into partitions by size.  Record type and header predicates are pushed down: a
-record's headers are parsed first, and the payload of a record that is not wanted, or whose columns
-are not asked for, is not decoded.  Files are gzip with one member per record; the writer notes the
-length of a member in its header, so the reader goes on without inflating what it skips.
+Partitions are planned by size: packed files are cut at byte offsets, and a task reads the gzip members
+that start in its stretch.  Record type and header predicates are pushed down: a record's headers
+are parsed first, and the payload of a record that is not wanted, or whose columns are not asked
+for, is not decoded.  The writer makes one member per record and notes its length in its header, so the
+reader goes on without inflating what it skips; other archives are read to the end of each record.
 Paths may be in any store that ``pyarrow.fs`` knows.
 """
 
@@ -30,8 +31,10 @@ HEADERS = {
     "record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri",
     "date": "warc-date", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest",
 }
-#: Bytes of files that make a partition, and after which the writer starts another file.
+#: Bytes of packed files that make a partition at most, and at least, and after which the writer
+#: starts another file.
 PARTITION_BYTES = 128 << 20
+LEAST_BYTES = 1 << 20
 ROLL_BYTES = 256 << 20
 #: Rows, and bytes of payload, of an Arrow batch.
 BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
@@ -74,20 +77,17 @@ def record_bytes(record_id, record_type, target_uri, date, refers_to, payload: b
 
 
 class _Input:
-    """Reads records of a file one after another, the payload only on demand."""
+    """Reads records of a stretch of a file one after another, the payload only on demand."""
 
     CHUNK = 1 << 16
 
-    def __init__(self, file, size: int):
-        self.file, self.size, self.at = file, size, 0
+    def __init__(self, file, size: int, start: int, end: int, packed: bool):
+        self.file, self.size, self.start, self.end, self.packed = file, size, start, end, packed
 
-    def _fill(self, need: int | None, mark: bytes | None = None) -> None:
-        """Inflate until ``plain`` has ``need`` bytes or holds ``mark``, or the member ends."""
-        while not self.inflate.eof and (len(self.plain) < need if mark is None else mark not in self.plain):
-            packed = self.inflate.unconsumed_tail or self._read()
-            if not packed:
-                raise ValueError("the archive ends inside a record")
-            self.plain += self.inflate.decompress(packed, self.CHUNK)
+    def _open(self, at: int) -> None:
+        """Go on with the gzip member, or the plain file, at ``at``."""
+        self.next, self.plain, self.left = at, bytearray(), 0
+        self.inflate = zlib.decompressobj(31) if self.packed else None
 
     def _read(self) -> bytes:
         self.file.seek(self.next)
@@ -95,50 +95,177 @@ class _Input:
         self.next += len(data)
         return data
 
+    def _more(self) -> bool:
+        """Add to ``plain``; False at the end of the member or the plain file."""
+        if self.inflate is None:
+            data = self._read()
+            self.plain += data
+            return bool(data)
+        if self.inflate.eof:
+            return False
+        data = self.inflate.unconsumed_tail or self._read()
+        if not data:
+            raise ValueError("the archive ends inside a record")
+        self.plain += self.inflate.decompress(data, self.CHUNK)
+        return True
+
+    def _take(self, n: int) -> bytes:
+        """The next ``n`` bytes of the record's block."""
+        while len(self.plain) < n:
+            if not self._more():
+                raise ValueError("the archive ends inside a record")
+        out = bytes(self.plain[:n])
+        del self.plain[:n]
+        self.left -= n
+        return out
+
+    def _skip_block(self) -> None:
+        while self.left:
+            if not self.plain and not self._more():
+                raise ValueError("the archive ends inside a record")
+            n = min(self.left, len(self.plain))
+            del self.plain[:n]
+            self.left -= n
+
+    def _first_member(self) -> int:
+        """Start of the first member in the stretch that holds the start of a record."""
+        if not self.start:
+            return 0
+        at = self.start
+        while at < self.end:
+            self.file.seek(at)
+            data = self.file.read(min(self.CHUNK, self.end - at) + len(_MAGIC) - 1)
+            spot = data.find(_MAGIC)
+            while spot >= 0:
+                if self._starts_record(at + spot):
+                    return at + spot
+                spot = data.find(_MAGIC, spot + 1)
+            at += max(1, len(data) - len(_MAGIC) + 1)
+        return self.end
+
+    def _starts_record(self, at: int) -> bool:
+        self.file.seek(at)
+        try:
+            return zlib.decompressobj(31).decompress(self.file.read(4096), 5) == b"WARC/"
+        except zlib.error:
+            return False
+
     def records(self):
-        while self.at < self.size:
-            self.file.seek(self.at)
-            head = self.file.read(24)
-            if head[:2] != b"\x1f\x8b":
-                raise ValueError("not a gzip member")
-            known = struct.unpack("<I", head[16:20])[0] if head[3] == 4 and head[12:16] == b"sl\x08\0" else None
-            self.next, self.plain = self.at, bytearray()
-            self.inflate = zlib.decompressobj(31)
-            self._fill(None, b"\r\n\r\n")
-            end = self.plain.index(b"\r\n\r\n") + 4
-            lines = bytes(self.plain[:end]).decode("utf-8", "replace").split("\r\n")
-            if not lines[0].startswith("WARC/"):
+        """``headers, length of the block`` of each record that starts in the stretch."""
+        at = self._first_member()
+        while at < self.end:
+            known = self._noted_length(at) if self.packed else None
+            self._open(at)
+            alone = True
+            while self._at_record():
+                headers, length, plain = self._headers()
+                self.left = length
+                yield headers, length
+                if alone and known and known[1] == plain + length + 4:
+                    break  # the member holds this record alone
+                self._skip_block()
+                alone = False
+            else:
+                if not self.packed:
+                    return
+                known = (self.next - len(self.inflate.unused_data) - at, 0)
+            at += known[0]
+
+    def _noted_length(self, at: int) -> tuple[int, int] | None:
+        self.file.seek(at)
+        head = self.file.read(24)
+        if head[:2] != _MAGIC[:2]:
+            raise ValueError("not a gzip member")
+        return struct.unpack("<II", head[16:24]) if len(head) == 24 and head[3] == 4 and head[12:16] == b"sl\x08\0" else None
+
+    def _at_record(self) -> bool:
+        """Pass over line ends; whether anything follows."""
+        while True:
+            ends = len(self.plain) - len(self.plain.lstrip(b"\r\n"))
+            del self.plain[:ends]
+            if self.plain:
+                return True
+            if not self._more():
+                return False
+
+    def _headers(self) -> tuple[dict, int, int]:
+        while b"\r\n\r\n" not in self.plain:
+            if not self._more():
                 raise ValueError("not a WARC record")
-            headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:] if x)}
-            del self.plain[:end]
-            yield headers, int(headers["content-length"])
-            if known is None:  # a member of unknown length: inflate to its end
-                while not self.inflate.eof:
-                    self.plain.clear()
-                    self._fill(1)
-                known = self.next - len(self.inflate.unused_data) - self.at
-            self.at += known
-
-    def http_head(self) -> int:
-        """Declared length of the payload; what follows in ``plain`` is the payload."""
-        self._fill(None, b"\r\n\r\n")
         end = self.plain.index(b"\r\n\r\n") + 4
-        lines = bytes(self.plain[:end]).decode("latin-1").split("\r\n")
+        first, headers = _header_lines(bytes(self.plain[:end]).decode("utf-8", "replace"))
+        if not first.startswith("WARC/") or not headers.get("content-length", "").isdecimal():
+            raise ValueError("not a WARC record")
         del self.plain[:end]
-        lengths = [int(x.partition(":")[2]) for x in lines if x.lower().startswith("content-length:")]
-        return lengths[0] if lengths else -1, end
+        return headers, int(headers["content-length"]), end
 
-    def payload(self, length: int) -> bytes:
-        self._fill(length)
-        return bytes(self.plain[:length])
+    def http_head(self) -> dict:
+        """Headers of the HTTP message in the block; what is left of the block is its body.  A block
+        without the empty line that ends them has none, and all of it is body."""
+        while (end := self.plain.find(b"\r\n\r\n", 0, self.left)) < 0 and len(self.plain) < self.left:
+            if not self._more():
+                raise ValueError("the archive ends inside a record")
+        return _header_lines(self._take(end + 4).decode("latin-1"))[1] if end >= 0 else {}
+
+    def rest(self) -> bytes:
+        """What is left of the block."""
+        return self._take(self.left)
+
+
+#: How a gzip member begins.
+_MAGIC = b"\x1f\x8b\x08"
+
+
+def _header_lines(text: str) -> tuple[str, dict[str, str]]:
+    """First line and headers by lower-case name; a line that starts with a blank goes on with the
+    one before it, and the last of repeated headers counts."""
+    lines: list[str] = []
+    for line in text.split("\r\n"):
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()
+        elif line:
+            lines.append(line)
+    return (lines or [""])[0], {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """The body of a chunked HTTP message; None if it is not one."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        try:
+            size = int(body[at:end].partition(b";")[0], 16) if end >= 0 else -1
+        except ValueError:
+            return None
+        if size == 0:
+            return b"".join(out)
+        if size < 0 or len(body) < end + 2 + size:
+            return None
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+
+
+def _bare_digest(value: str | None) -> str | None:
+    """SHA-1 bare, in upper-case base32; other digests as they are, with their label."""
+    label, colon, code = (value or "").partition(":")
+    if not colon or label.lower() != "sha1":
+        return value or None
+    if len(code) == 40:  # in hexadecimal digits
+        try:
+            return base64.b32encode(bytes.fromhex(code)).decode()
+        except ValueError:
+            return code.upper()
+    return code.upper()
 
 
 @dataclass
-class _Files(InputPartition):
-    paths: list
+class _Stretches(InputPartition):
+    """``path, size, start, end`` of each stretch of a task."""
+
+    parts: list
 
-    def __init__(self, paths):
-        self.paths = paths
+    def __init__(self, parts):
+        self.parts = parts
 
 
 class WarcReader(DataSourceReader):
@@ -147,6 +274,7 @@ class WarcReader(DataSourceReader):
         self.columns = columns
         self.verify = options.get("verify", "false").lower() == "true"
         self.partition_bytes = int(options.get("partitionbytes", PARTITION_BYTES))
+        self.tasks = int(options.get("tasks", 1))
         self.wanted: list[tuple[str, set]] = []
 
     def pushFilters(self, filters):
@@ -159,26 +287,42 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         store, root = _store(self.folder)
-        found = store.get_file_info(fs.FileSelector(root, recursive=True))
-        files = sorted((f.path, f.size) for f in found if f.is_file and f.base_name.endswith(".warc.gz") and f.base_name[0] not in "_.")
-        out, size = [[]], 0
-        for path, length in files:
-            if out[-1] and size + length > self.partition_bytes:
-                out.append([])
-                size = 0
-            out[-1].append((path, length))
-            size += length
-        return [_Files(p) for p in out]
+        files = sorted((f.path, f.size) for f in self._archives(store, root))
+        # small archives are cut finer, so that all of the cluster reads them
+        share = max(LEAST_BYTES, sum(size for _, size in files) // self.tasks)
+        most = min(self.partition_bytes, share)
+        out, held = [[]], 0
+        for path, size in files:
+            # plain files are not cut: their payloads may hold what looks like a record
+            step = most if path.endswith(".gz") else max(1, size)
+            for start in range(0, size, step):
+                end = min(size, start + step)
+                if out[-1] and held + end - start > most:
+                    out.append([])
+                    held = 0
+                out[-1].append((path, size, start, end))
+                held += end - start
+        return [_Stretches(p) for p in out]
+
+    def _archives(self, store, root):
+        top = store.get_file_info(root)
+        found = [top] if top.is_file else store.get_file_info(fs.FileSelector(root, recursive=True))
+        for f in found:
+            if f.is_file and f.base_name[0] not in "_.":
+                if f.base_name.endswith((".warc", ".warc.gz")):
+                    yield f
+                elif ".warc." in f.base_name:
+                    raise ValueError(f"{f.path} is an archive in a form that is not read")
 
     def read(self, partition):
         store, _ = _store(self.folder)
         rows, held = [], 0
-        for path, size in partition.paths:
+        for path, size, start, end in partition.parts:
             with store.open_input_file(path) as file:
-                archive = _Input(file, size)
-                for headers, length in archive.records():
+                archive = _Input(file, size, start, end, path.endswith(".gz"))
+                for headers, _ in archive.records():
                     if all(headers.get(h) in values for h, values in self.wanted):
-                        rows.append(self._row(archive, headers, length))
+                        rows.append(self._row(archive, headers))
                         held += len(rows[-1].get("payload") or b"")
                         if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
                             yield self._batch(rows)
@@ -186,19 +330,26 @@ class WarcReader(DataSourceReader):
         if rows:
             yield self._batch(rows)
 
-    def _row(self, archive, headers, length):
+    def _row(self, archive, headers):
         row = {name: headers.get(h) for name, h in HEADERS.items()}
-        row["payload_digest"] = (row["payload_digest"] or "").removeprefix("sha1:") or None
-        if "payload" in self.columns or "payload_bytes" in self.columns or self.verify:
-            declared, head = archive.http_head()
-            row["payload_bytes"] = declared
-            if row["record_type"] != "revisit" and ("payload" in self.columns or self.verify):
-                row["payload"] = archive.payload(length - head)
-                row["payload_bytes"] = len(row["payload"])
-                if self.verify and (len(row["payload"]) != declared or digest(row["payload"]) != row["payload_digest"]):
-                    raise ValueError(f"the payload of {row['record_id']} is not what its headers say")
-                if "payload" not in self.columns:
-                    del row["payload"]
+        row["payload_digest"] = _bare_digest(row["payload_digest"])
+        if not ({"payload", "payload_bytes"} & set(self.columns) or self.verify):
+            return row
+        kind = headers.get("content-type", "").lower()
+        http = kind.startswith("application/http") or not kind and row["record_type"] in ("response", "request", "revisit")
+        said = archive.http_head() if http else {}
+        if row["record_type"] == "revisit":
+            length = said.get("content-length", "")
+            row["payload_bytes"] = int(length) if length.isdecimal() else None
+            return row
+        body = archive.rest()
+        plain = _unchunked(body) if said.get("transfer-encoding", "").lower().endswith("chunked") else None
+        payload = body if plain is None else plain
+        if self.verify and row["payload_digest"] and not any(_agrees(row["payload_digest"], p) for p in {payload, body}):
+            raise ValueError(f"the payload of {row['record_id']} is not what its headers say")
+        row["payload_bytes"] = len(payload)
+        if "payload" in self.columns:
+            row["payload"] = payload
         return row
 
     def _batch(self, rows):
@@ -206,6 +357,17 @@ class WarcReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], kinds.get(c, pa.string())) for c in self.columns], self.columns)
 
 
+def _agrees(said: str, payload: bytes) -> bool:
+    """Whether ``payload`` has that digest; True for kinds of digest that are not known here."""
+    label, colon, code = said.partition(":")
+    if not colon:
+        return said == digest(payload)
+    if label.lower() not in ("md5", "sha256", "sha512"):
+        return True
+    raw = hashlib.new(label.lower(), payload).digest()
+    return code.lower().rstrip("=") in (raw.hex(), base64.b32encode(raw).decode().lower().rstrip("="))
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     names: list
@@ -264,15 +426,25 @@ class WarcSource(DataSource):
         return WarcWriter(self.options)
 
 
-def read_warc(spark: SparkSession, folder: str, schema: str = SCHEMA, verify: bool = False) -> DataFrame:
-    """Records of the ``.warc.gz`` files under ``folder``; ``schema`` names the columns wanted.
-
-    With ``verify`` each stored payload is decoded and checked against its digest and length.
-    An empty folder gives no rows; a damaged archive fails the read with the reason.
+def read_warc(spark: SparkSession, folder: str, schema: str = SCHEMA, verify: bool = False, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+    """Records of the ``.warc`` and ``.warc.gz`` files under ``folder``, or of that one file;
+    ``schema`` names the columns wanted.
+
+    The payload of a record that holds an HTTP message (by its content type; where it has none, a
+    response, request or revisit) is the message's body, without chunk marks; of any other record
+    it is the whole block.  A revisit has no payload, and ``payload_bytes`` is what its HTTP head
+    declares, null if nothing.  SHA-1 digests are given bare in upper-case base32, others as they
+    stand.  With ``verify`` each stored payload is checked against its digest; records without one,
+    or with one of an unknown kind, pass.  Records that repeat an id are all given.  Files whose
+    names begin with ``_`` or ``.`` are not read (parts of an unfinished write); an archive packed otherwise
+    stops the read.  An empty folder gives no rows; a damaged archive fails the read with the reason.
+    One task reads at most about ``partition_bytes`` of packed files, or one plain file.  The session's
+    pushdown of filters to Python sources stays switched on, as the scan is planned later.
     """
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").schema(schema).option("verify", str(verify)).load(folder)
+    options = {"verify": str(verify), "partitionbytes": str(partition_bytes), "tasks": str(spark.sparkContext.defaultParallelism)}
+    return spark.read.format("warc").schema(schema).options(**options).load(folder)
 
 
 def write_warc(records: DataFrame, folder: str) -> None:
