@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella.llm.common import give_back_memory
+
 #: Unicode white space; what str.split() cuts at besides, 0x1C to 0x1F, is not in it.
 _SPACES = "\t-\r \x85\xa0  -     　"
 _CUT = re.compile(f"[{_SPACES}]+")
@@ -198,7 +200,7 @@ def coded(df: DataFrame, path: str, *fields: str, text: str = "text", into: str
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], code(part.column(len(others)).to_pylist())], [*others, into])
         codec(path).forget()  # a worker may wait long for its next task
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
     return df.select(*others, text).mapInArrow(run, kind)
 

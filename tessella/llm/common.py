@@ -1,11 +1,13 @@
 """What several operators share: cut lineage, exact prefix sums, components, byte tables."""
 
+import ctypes
 import os
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -152,6 +154,14 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     return roots.join(lowest.hint("merge"), "to").select("node", "component")
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: a worker that waits for its next task keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 # -- bytes in numpy ------------------------------------------------------------------------------
 
 _SPACE = np.zeros(256, bool)
@@ -220,7 +230,6 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def text_arrays(column) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of an Arrow string column and the offsets of its rows (null: empty)."""
-    import pyarrow as pa
     import pyarrow.compute as pc
 
     if isinstance(column, pa.ChunkedArray):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import Roller, broadcast_checked, components, lowered, mix64, prefix_sums, small_batches, text_arrays, word_bounds, written
+from tessella.llm.common import Roller, broadcast_checked, components, give_back_memory, lowered, mix64, prefix_sums, small_batches, text_arrays, word_bounds, written
 
 #: Documents, and hashes, that are compared in one task; larger clusters are cut into blocks.
 CLUSTER_ROWS = 2_000
@@ -134,6 +134,7 @@ def _sizes(width):
         sizes = []
         for i in range(0, len(text), 500):  # the sets of a whole batch need not be held at once
             sizes += [len(s) for s in shingle_sets(text.slice(i, 500), width)]
+        give_back_memory()
         return pa.array(sizes, pa.int64())
 
     return size_of
@@ -156,6 +157,7 @@ def _sampled(width: int, share: int):
                 part = batch.slice(i, 500)
                 sets = shingle_sets(part.column(1), width)
                 yield _long_rows([s[(s >> np.uint64(33)) % np.uint64(100) < percent] for s in sets], part.column(0), "hash")
+            give_back_memory()
 
     return sampled
 
@@ -168,6 +170,7 @@ def _offers(share):
                 part = batch.slice(i, 500)
                 sets = [np.frombuffer(s, np.uint64) for s in part.column(1).to_pylist()]
                 yield _long_rows([block_keys(s, levels) for s in sets], part.column(0), "key")
+            give_back_memory()
 
     return offers
 
@@ -175,7 +178,9 @@ def _offers(share):
 def _sets(width):
     @F.arrow_udf("binary")
     def hashes(text: pa.Array) -> pa.Array:
-        return pa.array([s.tobytes() for s in shingle_sets(text, width)], pa.binary())
+        out = pa.array([s.tobytes() for s in shingle_sets(text, width)], pa.binary())
+        give_back_memory()
+        return out
 
     return hashes
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import broadcast_checked, learnable
+from tessella.llm.common import broadcast_checked, give_back_memory, learnable
 
 DIM = 4096
 #: Texts per step of numpy work.
@@ -72,6 +72,7 @@ def _document_frequency(batches):
             counts = gram_counts(texts.slice(i, STEP).to_pylist())
             total += (counts > 0).sum(axis=0)
             rows += len(counts)
+        give_back_memory()
     spots = [-1, *range(DIM)]  # -1: number of texts
     yield pa.RecordBatch.from_arrays([pa.array(spots, pa.int32()), pa.array([rows, *total.tolist()], pa.int64())], ["spot", "n"])
 
@@ -216,6 +217,7 @@ def language_of(model: Model | None):
         for i in range(0, len(text), STEP):  # a whole batch of texts need not be held as strings
             for out, found in zip((langs, scores, rejected), classify(text.slice(i, STEP).to_pylist(), model)):
                 out += found
+        give_back_memory()
         return pa.StructArray.from_arrays(
             [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
             ["lang", "score", "rejected"],

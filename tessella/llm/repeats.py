@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import Roller, mix64, text_arrays, written
+from tessella.llm.common import Roller, give_back_memory, mix64, text_arrays, written
 
 LENGTH = 200
 GRAM = 64
@@ -78,6 +78,7 @@ def _runs(batches):
             run = (columns[0] << 16) | (columns[2] << 8) | columns[1]
             arrays = [owner, run, columns[3].view(np.int64), columns[4].view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
+        give_back_memory()
 
 
 def _unpacked(run: str) -> list:
@@ -226,6 +227,7 @@ def _without(text: pa.Array, runs: pa.Array) -> pa.Array:
         out.append((len(data), int(gone.sum()), len(_spans(gone)[0]), data[~gone].tobytes()))
     columns = list(zip(*out)) if out else [()] * 4
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    give_back_memory()
     return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["n_bytes", "n_removed", "n_spans", "kept"])
 
 
