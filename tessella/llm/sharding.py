@@ -7,12 +7,31 @@ from tessella.llm.common import cut, prefix_sums
 
 #: Bytes of a row besides its text.
 OVERHEAD = 16
+#: Rows of one group of equal rows that one task writes out.
+CHUNK = 1 << 16
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 40, whole: float = 0.01) -> DataFrame:
+def _each_row(groups: DataFrame, chunk: int) -> DataFrame:
+    """One row for each of the ``n`` rows of a group, with what lies before it."""
+
+    def rows(df, first, last):
+        return df.withColumn("_k", F.explode(F.sequence(first, last))).withColumns({
+            "bytes_before": F.col("bytes_before") + F.col("_k") * F.col("size"), "rows_before": F.col("rows_before") + F.col("_k"),
+        }).drop("_k", "n")
+
+    last = F.col("n") - 1
+    few = rows(groups.where(F.col("n") <= chunk), F.lit(0).cast("long"), last)
+    starts = groups.where(F.col("n") > chunk).withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(chunk).cast("long"))))
+    many = rows(starts.repartition("h", "_at"), F.col("_at"), F.least(last, F.col("_at") + (chunk - 1))).drop("_at")
+    return few.unionByName(many)
+
+
+def shard_by_bytes(docs: DataFrame, shards: int = 40, whole: float = 0.01, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs (doc_id, text)``.
 
     Rows are put in order of a hash of the text, then of the id, so equal texts lie together.
+    Rows equal in both are counted first and placed as one, then written out in several tasks if
+    they are more than ``chunk``.
     The running sum of the sizes is cut at equal targets: a row goes where its middle byte falls.
     Where a cut would split a group of equal texts whose bytes are at most ``whole`` of a shard,
     the group goes where the group's middle falls; larger groups are cut between rows, so shards
@@ -27,11 +46,13 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, whole: float = 0.01) -> Da
         F.col("doc_id"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("h"),
+        F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"),
     )
-    order = [F.col("h"), F.col("doc_id"), F.col("size"), F.col("text_crc32")]
-    placed = prefix_sums(rows, order, {"bytes_before": F.col("size"), "rows_before": F.lit(1)})
-    total = rows.agg(F.sum("size")).first()[0] or 1
+    keys = ["h", "doc_id", "size", "text_crc32"]
+    groups = cut(rows.groupBy(*keys).agg(F.count("*").alias("n")))
+    total = groups.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 1
+    groups = prefix_sums(groups, [F.col(k) for k in keys], {"bytes_before": F.col("size") * F.col("n"), "rows_before": F.col("n")})
+    placed = _each_row(groups, chunk)
 
     def shard_of(start, size):
         middle = (start.cast("double") + size / 2) * F.lit(float(shards)) / F.lit(float(total))
