@@ -118,9 +118,107 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGIN
 FROM p
 """
 
+#: Classes of rows joined by the pairs ``e (a, b)`` among the rows of ``v (row, id)``.
+_REACH = """
+links AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT row, row AS other FROM v UNION SELECT r.row, links.b FROM reach r JOIN links ON r.other = links.a),
+classes AS (SELECT r.row, min(v.id) AS id FROM reach r JOIN v ON r.other = v.row GROUP BY r.row)"""
+
+OP3 = f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id AS id, len(embedding) AS width, embedding::DOUBLE[] AS x,
+    coalesce(len(embedding) > 0 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+      AND len([c FOR c IN embedding IF c <> 0]) > 0, false) AS fit
+  FROM embeddings),
+f AS MATERIALIZED (SELECT * FROM v WHERE fit),
+e AS MATERIALIZED (
+  SELECT p.row AS a, q.row AS b FROM f p JOIN f q
+  ON p.width = q.width AND p.row < q.row AND list_cosine_similarity(p.x, q.x) >= 0.95),{_REACH}
+SELECT v.id AS vec_id, (SELECT count(*) FROM links WHERE links.a = v.row)::BIGINT AS n_links, c.id AS component_id,
+  v.id IS NOT DISTINCT FROM c.id AS kept
+FROM v JOIN classes c ON v.row = c.row
+"""
+
+OP4 = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+  FROM pages)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, k // 4 * 5 + 1, 5))::BIGINT >> (15 - k % 4 * 5)) % 32)::INT + 1, 1)
+    FOR k IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p
+"""
+
+OP6 = rf"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id AS id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+v AS MATERIALIZED (SELECT row, id, list_distinct([md5(array_to_string(words[i : i + 2], ' ')) FOR i IN range(1, greatest(len(words) - 2, least(len(words), 1)) + 1)]) AS grams FROM w),
+g AS MATERIALIZED (SELECT row, len(grams) AS n, unnest(grams) AS gram FROM v),
+e AS MATERIALIZED (
+  SELECT p.row AS a, q.row AS b FROM g p JOIN g q ON p.gram = q.gram AND p.row < q.row AND 100 * least(p.n, q.n) >= 90 * greatest(p.n, q.n)
+  GROUP BY p.row, q.row, p.n, q.n HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),{_REACH}
+SELECT v.id AS doc_id, len(v.grams)::BIGINT AS n_shingles, c.id AS component_id FROM v JOIN classes c ON v.row = c.row
+"""
+
+OP8 = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT row, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT row, h, unnest(range(length(h) // 2 - 199)) AS i FROM d)),
+r AS (SELECT row, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+o AS (SELECT row, i, coalesce(i > lag(i) OVER (PARTITION BY row ORDER BY i) + 200, true) AS opens FROM r),
+s AS (SELECT row, i, sum(opens::INT) OVER (PARTITION BY row ORDER BY i) AS span FROM o),
+x AS (SELECT row, min(i) AS lo, max(i) + 200 AS hi FROM s GROUP BY row, span),
+y AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY row ORDER BY lo), 0) AS before FROM x),
+k AS (
+  SELECT y.row, count(*) AS n_spans, sum(hi - lo) AS n_removed,
+    string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) || substr(any_value(h), 2 * max(hi) + 1) AS kept
+  FROM y JOIN d ON y.row = d.row GROUP BY y.row)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k ON d.row = k.row
+"""
+
+
+def _crc(value: int) -> int:
+    for _ in range(8):
+        value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+def _shards(shards: int = 40, overhead: int = 16, whole: float = 0.01) -> str:
+    return rf"""
+WITH b AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS raw FROM documents),
+d AS MATERIALIZED (
+  SELECT doc_id, (length(raw) // 2 + {overhead})::BIGINT AS size, ('0x' || substr(md5(text), 1, 15))::BIGINT AS h,
+    xor(4294967295, list_reduce([('0x' || substr(raw, 2 * i + 1, 2))::BIGINT FOR i IN range(length(raw) // 2)],
+      lambda c, x: xor(c >> 8, ({[_crc(i) for i in range(256)]}::BIGINT[])[xor(c, x) % 256 + 1]), 4294967295::BIGINT)) AS text_crc32
+  FROM b),
+r AS MATERIALIZED (
+  SELECT *, coalesce(sum(size) OVER o, 0)::BIGINT AS start, row_number() OVER (ORDER BY h, doc_id NULLS FIRST, size, text_crc32) - 1 AS place,
+    (SELECT sum(size)::DOUBLE FROM d) AS total
+  FROM d WINDOW o AS (ORDER BY h, doc_id NULLS FIRST, size, text_crc32 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+p AS MATERIALIZED (SELECT *, least({shards - 1}, floor((start::DOUBLE + size::DOUBLE / 2) * {shards}::DOUBLE / total))::INT AS shard FROM r),
+g AS (
+  SELECT h, least({shards - 1}, floor((min(start)::DOUBLE + sum(size)::DOUBLE / 2) * {shards}::DOUBLE / any_value(total)))::INT AS own
+  FROM p WHERE h IN (SELECT arg_min(h, place) FROM p GROUP BY shard)
+  GROUP BY h HAVING sum(size)::DOUBLE <= {whole}::DOUBLE * any_value(total) / {shards}::DOUBLE),
+m AS (SELECT p.* EXCLUDE shard, coalesce(g.own, p.shard) AS shard FROM p LEFT JOIN g ON p.h = g.h)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, (place - min(place) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard
+FROM m
+"""
+
+
 ORACLES = {
     "op1_mix_sources": OP1,
     "op2_exact_topk": OP2,
+    "op3_nn_descent": OP3,
+    "op4_warc_round_trip": OP4,
+    "op6_ngram_jaccard": OP6,
+    "op8_suffix_dedup": OP8,
+    "op10_shard_bytes": _shards(),
     "op11_vector_codes": _codes(),
     "op12_chat_format": OP12,
     "op13_fill_in_middle": OP13,
