@@ -245,6 +245,18 @@ def _cell_bounds(pivots: list, radius: dict[int, float], scale: float):
     return bounds
 
 
+def _blocks(counts: dict[int, int], query_rows: int) -> dict[int, tuple[int, int]]:
+    """By cell: the first block of its queries, and in how many they are.  Small cells share a block."""
+    blocks, block, room = {}, -1, 0
+    for cell, n in sorted(counts.items()):
+        if n > room:
+            block, room = block + 1, query_rows
+        parts = -(-n // query_rows)
+        blocks[cell] = (block, parts)
+        block, room = block + parts - 1, room - n if parts == 1 else 0
+    return blocks
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` vectors of largest inner product for each query.
 
@@ -256,9 +268,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     part; other rows that repeat an id each count.  Empty tables give an empty result.
     """
 
+    single = all(dict(df.dtypes)["embedding"] == "array<float>" for df in (vectors, queries))
+    kind = "array<float>" if single else "array<double>"
+
     def usable(df):
         bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-        df = df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+        df = df.select("vec_id", F.col("embedding").cast(kind).alias("embedding"))
         df = df.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(~bad)
         return df.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("width"), F.col("embedding").alias("vector"))
 
@@ -269,7 +284,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     if shards > 1:
         mark = F.xxhash64("vec_id", F.lit(1))
         pivots = [r.vector for r in rows.orderBy(mark, "vec_id").limit(min(CELLS, shards)).select("vector").collect()]
-        held = rows.mapInArrow(_in_cells(pivots, scale), "vec_id long, width int, vector array<double>, cell int, away double")
+        held = rows.mapInArrow(_in_cells(pivots, scale), f"vec_id long, width int, vector {kind}, cell int, away double")
         held = cut(held.withColumn("pick", F.monotonically_increasing_id()))
         # a row per cell
         cells = held.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()
@@ -284,11 +299,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     # a query whose length no vector has keeps APART, where it meets nothing
     plan = cut(asked.mapInArrow(_cell_bounds(pivots, radius, scale), "query_id long, cell int, most double, nth int"))
     homes = plan.where("nth = 0").select("query_id", F.col("cell").alias("home"))
-    sizes = {r.home: -(-r.n // query_rows) for r in homes.groupBy("home").agg(F.count("*").alias("n")).collect()} or {APART: 1}
-    of_home = F.element_at(F.create_map(*(F.lit(v) for pair in sizes.items() for v in pair)), F.col("home"))
-    asked = asked.join(homes, "query_id").withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(2)), of_home))
+    blocks = _blocks({r.home: r.n for r in homes.groupBy("home").agg(F.count("*").alias("n")).collect()}, query_rows) or {APART: (0, 1)}
+    first, parts = (F.element_at(F.create_map(*(F.lit(v) for c, b in blocks.items() for v in (c, b[i]))), F.col("home")) for i in (0, 1))
+    asked = asked.join(homes, "query_id").withColumn("block", first + F.pmod(F.xxhash64("query_id", F.lit(2)), parts)).drop("home")
     asked = cut(asked)
-    keys = ["home", "part", "cell", "slice", "width"]
+    keys = ["block", "cell", "slice", "width"]
     found = None
     last = plan.agg(F.max("nth")).first()[0] or 0
     for low, high in ((0, 0), (1, 1), (2, last)):
