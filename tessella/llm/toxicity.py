@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as a learned vector of its letters' hash and the mean of learned vectors of its
-character trigrams.  Windows of ``WINDOW`` words, one starting every ``STRIDE``, are read both ways by
+character trigrams; a word of over ``LONGEST`` characters is read as several.  Windows of ``WINDOW`` words, one starting every ``STRIDE``, are read both ways by
 gated recurrent units; attention pools the states, and a logistic output gives the window's
 score.  A text's score is its highest window's.  Training knows labels of texts only: windows of
 clean texts count as clean, and of a toxic text the windows that score highest so far count as toxic.
@@ -38,17 +38,31 @@ def _gram(text: str) -> int:
     return 1 + _spot(text, GRAMS - 1)
 
 
-#: Place of all words, or trigrams, that too few training texts hold to be learned alone.
+#: Place of all words, or trigrams, that too few training texts hold to be learned alone: one in
+#: ``TEXTS_EACH``, though at most ``LEAST_TEXTS`` are asked for.
 RARE = 0
 LEAST_TEXTS = 15
+TEXTS_EACH = 85
 #: Share of words that enter a training step by their trigrams alone.
 TRIGRAMS_ALONE = 0.4
 
 
+#: Characters of the longest word that is read as one.
+LONGEST = 64
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words of a text in lower case; longer ones are cut, so that every character is in one."""
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) > LONGEST:
+        words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    return words
+
+
 def word_inputs(word: str) -> tuple[int, list[int]]:
     """Places of a word and of its character trigrams; only its letters count if it has any."""
     plain = word if word.isalpha() else "".join(filter(str.isalpha, word)) or word
-    framed = f"<{plain[:64]}>"
+    framed = f"<{plain}>"
     return 1 + _spot(plain, WORDS - 1), [_gram(framed[i : i + 3]) for i in range(len(framed) - 2)] or [RARE]
 
 
@@ -182,7 +196,7 @@ def _windows(texts: list[str | None]):
     known: dict[str, int] = {}
     rows, owner = [], []
     for i, text in enumerate(texts):
-        ids = [known.setdefault(w, len(known)) for w in (text or "").lower().split()]
+        ids = [known.setdefault(w, len(known)) for w in words_of(text)]
         for start in window_starts(len(ids)) if ids else ():
             rows.append(ids[start : start + WINDOW])
             owner.append(i)
@@ -241,7 +255,7 @@ def _telling(net: Network, spots, words, mask, owner, toxic) -> np.ndarray:
                 holders[place] |= t
         bad = np.array([sum(int(toxic[i]) for i in h) for h in holders], float)
         all_ = np.array([len(h) for h in holders], float)
-        common[:] = all_ >= LEAST_TEXTS
+        common[:] = all_ >= min(LEAST_TEXTS, max(2, round(len(toxic) / TEXTS_EACH)))
         share, other = (bad + 1) / (toxic.sum() + 2), (all_ - bad + 1) / ((1 - toxic).sum() + 2)
         own = np.where(common, np.log(share / other), -np.inf)
         odds.append(np.array([max(own[p] for p in places(s)) for s in spots]))
@@ -282,7 +296,7 @@ class Scorer:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            words = text.lower().split()
+            words = words_of(text)
             if len(self.known) > KEPT_WORDS and len(words) < KEPT_WORDS:
                 self._flush(rows, owner, out)
                 rows, owner = [], []
