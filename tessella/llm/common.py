@@ -16,6 +16,9 @@ from tessella.operators.joins import HOT_ROWS, spread_join
 #: Most rows of a per-source or per-partition table that is broadcast.
 BROADCAST_ROWS = 100_000
 
+#: Edges or nodes of a graph that a task takes on at least, once their number is known.
+GRAPH_ROWS = 200_000
+
 #: The ASCII white space between words: space and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -126,31 +129,35 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     go, so the graph shrinks by a constant share a round, chains and stars alike.  A round writes
     which root joined which, one narrow table of all nodes' roots, and the edges left, and reads
     nothing older, so no plan spans rounds.  Joins are by sort and shuffle, so that nothing of
-    the graph is collected to the driver for a broadcast.
+    the graph is collected to the driver for a broadcast.  As the graph shrinks, a round's steps run
+    in as many tasks as its rows are worth, not in one for every shuffle partition.
     """
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+    few = lambda df, rows: df.coalesce(max(cores, -(-rows // GRAPH_ROWS)))
     edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    roots = None
+    roots, nodes = None, 0
     for turn in range(max_rounds):
-        if edges.isEmpty():
+        left = edges.count()
+        if not left:
             break
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
         both = edges.select("a", "b").union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("node"), F.least(F.col("low"), rank("a"))["id"].alias("to"))
-        low = written(low, "low")
+        low = written(few(low, 2 * left), "low")
         at = lambda name, to: low.select(F.col("node").alias(name), F.col("to").alias(to)).hint("merge")  # noqa: B023, E731
         if roots is None:
-            roots = low
+            roots, nodes = low, low.count()
         else:
             moved = roots.join(at("to", "next"), "to", "left").select("node", F.coalesce("next", "to").alias("to"))
-            roots = written(moved, "roots")
-        kept = edges.join(at("a", "a2"), "a").join(at("b", "b2"), "b").where("a2 <> b2")
+            roots = written(few(moved, nodes), "roots")
+        kept = few(edges.join(at("a", "a2"), "a"), left).join(at("b", "b2"), "b").where("a2 <> b2")
         kept = kept.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct()
-        edges = written(kept, "edges")
+        edges = written(few(kept, left), "edges")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     if roots is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    lowest = written(roots.groupBy("to").agg(F.min("node").alias("component")), "lowest")
+    lowest = written(few(roots.groupBy("to").agg(F.min("node").alias("component")), nodes), "lowest")
     return roots.join(lowest.hint("merge"), "to").select("node", "component")
 
 
