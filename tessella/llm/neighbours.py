@@ -2,14 +2,17 @@
 
 Equal vectors are one node.  First lists of neighbours come from cells of random rotations; then
 each node's neighbours, both ways, are compared with each other, which improves their lists, until few
-lists change.  Edges at the threshold link nodes.  A list that is full of links is saturated: it is
-enlarged to all nodes reachable over links, block by block of that class, so links inside a class
-are counted exactly without a row for each pair.  A sample of nodes is compared with all others;
+lists change.  Edges at the threshold link nodes, also those that a list has no place for: of the
+links that a comparison finds a spanning forest is kept, whatever the lists hold.  A list that is full
+of links is saturated, and can have no place for a link to another class: blocks of saturated nodes
+of different classes are compared exactly, but for those whose balls are too far apart.  Links inside
+a class are counted exactly, block by block of it, without a row for each pair.  A sample of nodes is compared with all others;
 while the recall of links is under the target, further rotations and rounds follow, and links
 the audit found are kept.
 """
 
 import logging
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -70,29 +73,60 @@ def _best(nodes: np.ndarray, s: np.ndarray, k: int, floor: np.ndarray | None = N
     return np.broadcast_to(nodes[:, None], top.shape)[keep], nodes[top][keep], near[keep]
 
 
+def _forest(nodes: np.ndarray, s: np.ndarray, threshold: float):
+    """``a, b, similarity`` of a spanning forest of the links in ``s``."""
+    np.fill_diagonal(s, -2)
+    hits = s >= threshold
+    left, a, b = np.ones(len(nodes), bool), [], []
+    for start in np.flatnonzero(hits.any(axis=1)):
+        stack = [start] if left[start] else []
+        left[start] = False
+        while stack:
+            at = stack.pop()
+            new = np.flatnonzero(hits[at] & left)
+            left[new] = False
+            a += [at] * len(new)
+            b += new.tolist()
+            stack += new.tolist()
+    a, b = np.array(a, np.int64), np.array(b, np.int64)
+    return nodes[a], nodes[b], s[a, b]
+
+
+#: Rows of lists, and of links whether or not a list has a place for them.
+PAIRS = "a long, b long, similarity double, kept boolean"
+
+
+def _compared(nodes, s, k, threshold, floor=None):
+    forest, best = _forest(nodes, s, threshold), _best(nodes, s, k, floor)
+    return [(*forest, np.ones(len(forest[0]), bool)), (*best, np.zeros(len(best[0]), bool))]
+
+
 def _pairs_table(parts) -> pa.Table:
-    a, b, s = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [], [])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
+    a, b, s, kept = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [], [], [])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64()), "kept": pa.array(kept, pa.bool_())})
 
 
-def _first_lists(k: int):
+def _first_lists(k: int, threshold: float):
     def lists(group: pa.Table) -> pa.Table:
         x = _unit(group.column("vector"))
-        return _pairs_table([_best(group.column("node").to_numpy(), x @ x.T, k)])
+        return _pairs_table(_compared(group.column("node").to_numpy(), x @ x.T, k, threshold))
 
     return lists
 
 
-def _join_locally(k: int):
-    """Compare the neighbours of a node with each other: a row per node holds them."""
+def _join_locally(k: int, threshold: float):
+    """Compare the neighbours of a node with each other: a row holds them, or two blocks of them."""
 
     def compare(batches):
         for batch in batches:
             parts = []
             for near in batch.column(0):
-                nodes = near.values.field("b").to_numpy()
+                nodes, side = near.values.field("b").to_numpy(), near.values.field("side").to_numpy()
                 x = _unit(near.values.field("vector"))
-                parts.append(_best(nodes, x @ x.T, k, near.values.field("kth").to_numpy()))
+                s = x @ x.T
+                if side.any():
+                    s[side[:, None] == side[None, :]] = -2
+                parts += _compared(nodes, s, k, threshold, near.values.field("kth").to_numpy())
             yield from _pairs_table(parts).to_batches()
 
     return compare
@@ -105,24 +139,101 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return best.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
-def _refined(lists: DataFrame, nodes: DataFrame, k: int, rounds: int, least_change: float) -> DataFrame:
-    """NN-descent from ``lists (a, b, similarity)``."""
+def _refined(pairs: DataFrame, nodes: DataFrame, k: int, rounds: int, least_change: float, threshold: float) -> DataFrame:
+    """NN-descent from ``pairs (a, b, similarity, kept)``: the better lists, and ``kept`` all links found.
+
+    All neighbours of a node, both ways, are compared with each other, those of a hub by pairs of blocks.
+    """
     vectors = nodes.select(F.col("node").alias("b"), "vector")
     n = nodes.count()
+    links = [pairs.where("kept")]
+    lists = cut(_top(pairs.where("not kept").drop("kept"), k))
     for _ in range(rounds):
         kth = lists.groupBy("a").agg(F.count("*").alias("n"), F.min("similarity").alias("low"))
         kth = kth.select(F.col("a").alias("b"), F.when(F.col("n") >= k, F.col("low")).otherwise(F.lit(-2.0)).alias("kth"))
-        back = lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")
-        around = _top(lists.union(back), 2 * k)
-        held = around.join(vectors.join(kth, "b", "left").withColumn("kth", F.coalesce("kth", F.lit(-2.0))), "b")
-        groups = held.groupBy("a").agg(F.collect_list(F.struct("b", "kth", "vector")).alias("near")).select("near")
-        better = groups.mapInArrow(_join_locally(k), "a long, b long, similarity double")
-        new = cut(_top(lists.union(better), k))
+        back = lists.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        around = cut(lists.select("a", "b").union(back).distinct())
+        hubs = around.groupBy("a").agg(F.ceil(F.count("*") / CELL_ROWS).alias("blocks"))
+        dealt = _block_pairs(around.join(hubs.where("blocks > 1"), "a", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))), "b")
+        held = dealt.join(vectors.join(kth, "b", "left").withColumn("kth", F.coalesce("kth", F.lit(-2.0))), "b")
+        groups = held.groupBy("a", "one", "two").agg(F.collect_list(F.struct("b", "kth", "vector", "side")).alias("near")).select("near")
+        better = cut(groups.mapInArrow(_join_locally(k, threshold), PAIRS))
+        links.append(better.where("kept"))
+        new = cut(_top(lists.union(better.where("not kept").drop("kept")), k))
         changed = new.join(lists, ["a", "b"], "left_anti").count()
         lists = new
         if changed <= least_change * k * n:
             break
-    return lists
+    return reduce(DataFrame.union, links, lists.withColumn("kept", F.lit(False)))
+
+
+def _block_pairs(members: DataFrame, key: str) -> DataFrame:
+    """``members`` in each pair ``one, two`` of the ``blocks`` of their group that they take part in, by
+    hash of ``key``; ``side`` 0 where both are one block, else 1 or 2."""
+    dealt = members.withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    dealt = dealt.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other"), "side": side})
+    return dealt.drop("block", "blocks", "other")
+
+
+def _centers(group: pa.Table) -> pa.Table:
+    """The ball that holds a block's vectors: a center of length 1 and the largest angle to it."""
+    x = _unit(group.column("vector"))
+    center = x.mean(axis=0)
+    center = center / np.linalg.norm(center) if np.linalg.norm(center) > 1e-9 else x[0]
+    angle = float(np.arccos(np.clip(x @ center, -1, 1)).max())
+    return pa.table({"component": group.column("component")[:1], "ball": group.column("ball")[:1], "center": pa.array([center.tolist()], pa.list_(pa.float64())), "angle": [angle]})
+
+
+def _near_balls(threshold: float):
+    """Pairs of balls of different classes that may hold a link."""
+    most = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
+
+    def near(group: pa.Table) -> pa.Table:
+        ball, of, side = (group.column(c).to_numpy() for c in ("ball", "component", "side"))
+        x, angle = np.array(group.column("center").to_pylist()), group.column("angle").to_numpy()
+        close = np.arccos(np.clip(x @ x.T, -1, 1)) <= angle[:, None] + angle[None, :] + most
+        close &= (of[:, None] != of[None, :]) & (ball[:, None] < ball[None, :])
+        if side.any():
+            close &= side[:, None] != side[None, :]
+        i, j = np.nonzero(close)
+        return pa.table({"ball": ball[i], "ball2": ball[j]})
+
+    return near
+
+
+def _link_across(threshold: float):
+    """One link between two balls, which joins their classes, if there is any."""
+
+    def across(group: pa.Table) -> pa.Table:
+        nodes, side, x = group.column("node").to_numpy(), group.column("side").to_numpy(), _unit(group.column("vector"))
+        one, two = side == 1, side == 2
+        i, j = np.nonzero(x[one] @ x[two].T >= threshold)
+        return pa.table({"a": nodes[one][i[:1]], "b": nodes[two][j[:1]]})
+
+    return across
+
+
+def _links_of_saturated(lists: DataFrame, nodes: DataFrame, classes: DataFrame, k: int, threshold: float) -> DataFrame | None:
+    """``a, b``: links that join the classes of nodes whose lists are full of links, exactly; None without such classes.
+
+    A link that no list holds has both ends saturated, else a list would have a place for it.
+    """
+    full = lists.where(F.col("similarity") >= threshold).groupBy(F.col("a").alias("node")).count().where(F.col("count") >= k)
+    members = cut(full.select("node").join(classes, "node").join(nodes.select("node", "vector"), "node"))
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / CELL_ROWS).alias("blocks"))
+    if sizes.limit(2).count() < 2:
+        return None
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    members = cut(members.join(sizes, "component").withColumn("ball", F.xxhash64("component", block)).drop("blocks"))
+    balls = cut(members.groupBy("component", "ball").applyInArrow(_centers, "component long, ball long, center array<double>, angle double"))
+    shards = -(-balls.count() // CELL_ROWS)
+    dealt = _block_pairs(balls.withColumn("blocks", F.lit(shards).cast("long")), "ball")
+    near = cut(dealt.groupBy("one", "two").applyInArrow(_near_balls(threshold), "ball long, ball2 long"))
+    side = lambda own, n: near.select(F.col(own).alias("ball"), F.col("ball").alias("one"), F.col("ball2").alias("two"), F.lit(n).alias("side"))
+    groups = side("ball", 1).union(side("ball2", 2)).join(members.drop("component"), "ball")
+    return cut(groups.groupBy("one", "two").applyInArrow(_link_across(threshold), "a long, b long"))
 
 
 def _links_in_class(threshold: float):
@@ -221,7 +332,7 @@ def _links_of(nodes, width, threshold, k, tables, rounds, least_change, sample,
     truth = _audit(nodes, sample, seed, threshold)
     if sample < min(n, MOST_AUDITED) and truth.limit(LEAST_LINKS).count() < LEAST_LINKS:
         truth = _audit(nodes, MOST_AUDITED, seed, threshold)
-    lists = None
+    pairs = None
     for turn in range(tries):
         kind = dict(nodes.dtypes)["vector"]
         cells = nodes.select("node", "vector").mapInArrow(
@@ -229,10 +340,15 @@ def _links_of(nodes, width, threshold, k, tables, rounds, least_change, sample,
         )
         crowd = cells.groupBy("turn", "cell").agg(F.ceil(F.count("*") / CELL_ROWS).alias("deal"))
         dealt = cells.join(crowd, ["turn", "cell"]).withColumn("deal", F.pmod(F.xxhash64("node", "turn"), F.col("deal")))
-        first = dealt.groupBy("turn", "cell", "deal").applyInArrow(_first_lists(k), "a long, b long, similarity double")
-        lists = _refined(cut(_top(first if lists is None else lists.union(first), k)), nodes, k, rounds, least_change)
-        links = lists.where(F.col("similarity") >= threshold).select("a", "b")
+        first = cut(dealt.groupBy("turn", "cell", "deal").applyInArrow(_first_lists(k, threshold), PAIRS))
+        pairs = _refined(first if pairs is None else pairs.union(first), nodes, k, rounds, least_change, threshold)
+        lists = pairs.where("not kept").drop("kept")
+        links = cut(pairs.where(F.col("similarity") >= threshold).select("a", "b").distinct())
         classes = components(links)
+        across = _links_of_saturated(lists, nodes, classes, k, threshold)
+        if across is not None:
+            links = links.union(across)
+            classes = components(links)
         same = truth.join(classes.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
             classes.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
         )
