@@ -15,6 +15,12 @@ HELD_KEYS = 200_000
 #: Values of one key a map task may hold before it combines them.
 HELD_VALUES = 256
 
+#: Values of all keys a map task may hold before it combines them.
+HELD_PAIRS = 1_000_000
+
+#: Bytes of an Arrow batch that are Python objects at a time; these take ten times as much or more.
+SLICE_BYTES = 1 << 20
+
 _FLUSH_ROWS = 20_000
 
 
@@ -36,6 +42,8 @@ def map_reduce(
     grow with the list, without changing what ``reduce_fn`` makes of it together with
     further values: ``lambda k, vs: [sum(vs)]`` for a sum.  It runs in the map tasks and
     again on ``slices`` parts of each key, so no task ever holds all values of a hot key.
+    A batch becomes Python objects ``SLICE_BYTES`` at a time, so a worker's memory does not grow
+    with the rows of a partition.
     """
     names = T._parse_datatype_string(pair_schema).fieldNames()
     if len(names) != 2:
@@ -44,17 +52,23 @@ def map_reduce(
 
     def run_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
-        for batch in batches:
-            ks, vs = (column.to_pylist() for column in batch.columns)
-            for k, v in zip(ks, vs):
-                for k2, v2 in map_fn(k, v):
-                    values = held.setdefault(k2, [])
-                    values.append(v2)
-                    if len(values) >= HELD_VALUES:
-                        held[k2] = list(combine_fn(k2, values))
-                if len(held) > HELD_KEYS:
+        added = 0
+        for k, v in _python_rows(batches):
+            for k2, v2 in map_fn(k, v):
+                values = held.setdefault(k2, [])
+                values.append(v2)
+                added += 1
+                if len(values) >= HELD_VALUES:
+                    held[k2] = list(combine_fn(k2, values))
+            if len(held) > HELD_KEYS or added > HELD_PAIRS:
+                many = len(held) > HELD_KEYS
+                if not many:
+                    held = {k2: list(values) for k2, values in combined(held.items())}
+                    many = sum(map(len, held.values())) > HELD_PAIRS // 2
+                if many:
                     yield from _pairs(combined(held.items()), pair_arrow)
                     held = {}
+                added = sum(map(len, held.values()))
         yield from _pairs(combined(held.items()), pair_arrow)
 
     def combined(items: Iterable[tuple[Any, list]]) -> Iterator[tuple[Any, list]]:
@@ -62,15 +76,11 @@ def map_reduce(
             yield k, values if len(values) == 1 else combine_fn(k, values)
 
     def run_combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ks, lists = (column.to_pylist() for column in batch.columns)
-            yield from _pairs(combined(zip(ks, lists)), pair_arrow)
+        yield from _pairs(combined(_python_rows(batches)), pair_arrow)
 
     def run_reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ks, lists = (column.to_pylist() for column in batch.columns)
-            rows = (reduce_fn(k, vs) for k, vs in zip(ks, lists))
-            yield from _rows((row for row in rows if row is not None), out_arrow)
+        rows = (reduce_fn(k, vs) for k, vs in _python_rows(batches))
+        yield from _rows((row for row in rows if row is not None), out_arrow)
 
     pair_arrow = to_arrow_schema(T._parse_datatype_string(pair_schema))
     out_arrow = to_arrow_schema(T._parse_datatype_string(out_schema))
@@ -84,6 +94,14 @@ def map_reduce(
     return grouped.mapInArrow(run_reduce, out_schema)
 
 
+def _python_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of ``batches``, of which some ``SLICE_BYTES`` at a time are Python objects."""
+    for batch in batches:
+        step = max(1, SLICE_BYTES * batch.num_rows // max(1, batch.nbytes))
+        for i in range(0, batch.num_rows, step):
+            yield from zip(*(column.to_pylist() for column in batch.slice(i, step).columns))
+
+
 def _pairs(items: Iterable[tuple[Any, list]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     return _rows(((k, v) for k, vs in items for v in vs), schema)
 
